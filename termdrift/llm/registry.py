@@ -9,6 +9,7 @@ QUERIES = {
     "op3_line_quality": "line_quality",
     "op7_byte_bpe": "byte_bpe",
     "op8_secrets": "secrets",
+    "op10_warc": "warc",
 }
 
 
