@@ -97,8 +97,27 @@ def per_text(
     return df.select(*keep, *extra).mapInArrow(run, out)
 
 
+#: A key with more than 1/HOT of all rows is hot; there are fewer than HOT such keys, whatever the input's size.
+HOT = 2000
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
+    """left joined to right, which has one row for each key and, in column n, left's rows with it.
+
+    total: left's rows. Keys that hold more than 1/HOT of them, fewer than HOT, are broadcast and
+    skip the shuffle; no other key can make a large task. Columns of right but n and the keys
+    must not be in left. how: inner or left. Rows with a null in a key match nothing.
+    """
+    own = [c for c in right.columns if c not in (*keys, "n")]
+    hot = right.where(F.col("n") > total // HOT).select(*keys, F.struct(*own).alias("_hot"))
+    rest = right.where(F.col("n") <= total // HOT).drop("n")
+    first = left.join(F.broadcast(hot), keys, "left")
+    found = first.where("_hot IS NOT NULL").select(*left.columns, "_hot.*")
+    return found.unionByName(first.where("_hot IS NULL").drop("_hot").join(rest, keys, how).select(*left.columns, *own))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "documents", "per_text", "shared_dir", "shared_path", "slices", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "documents", "join_unique", "per_text", "shared_dir", "shared_path", "slices", "written"]

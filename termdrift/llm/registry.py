@@ -8,6 +8,7 @@ from importlib import import_module
 QUERIES = {
     "op3_line_quality": "line_quality",
     "op5_mixing": "mixing",
+    "op6_simhash": "simhash",
     "op7_byte_bpe": "byte_bpe",
     "op8_secrets": "secrets",
     "op10_warc": "warc",

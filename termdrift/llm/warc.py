@@ -22,12 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, shared_path, slices
+from .common import arrow_schema, join_unique, shared_path, slices, written
 
 #: Payloads below this size are always stored.
 MIN_REVISIT = 100
-#: A digest with more than 1/HOT of all rows is hot; there are fewer than HOT such digests.
-HOT = 2000
 FILE_BYTES, GAP_BYTES, READ_BYTES, SHARE_BYTES = 512 << 20, 64 << 10, 8 << 20, 64 << 20
 
 INDEX = "page_id bigint, url string, file string, offset bigint, length bigint, payload_digest string, record_type string"
@@ -46,20 +44,12 @@ def typed_pages(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("bytes"))
     large = rows.where(F.col("bytes") >= MIN_REVISIT)
     groups = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL")
-    spark, path = pages.sparkSession, shared_path(pages.sparkSession, "warc-groups")
-    groups.write.parquet(path)
-    groups = spark.read.schema(groups.schema).parquet(path)
-    limit = pages.count() // HOT
-    hot, rest = groups.where(F.col("n") > limit), groups.where(F.col("n") <= limit)
-    # Hot digests, at most HOT rows whatever the input's size, are broadcast; the rows they claim skip the shuffle.
-    first = rows.join(F.broadcast(hot.select("digest", F.col("first").alias("hot"))), "digest", "left")
-    cold = first.where("hot IS NULL").join(rest.select("digest", "first"), "digest", "left")
-    columns = ("page_id", "url", "payload", "digest", "bytes", "first")
-    both = first.where("hot IS NOT NULL").withColumn("first", F.col("hot")).select(*columns).union(cold.select(*columns))
+    both = join_unique(rows, written(groups, "warc-groups"), ["digest"], pages.count(), "left")
     revisit = (F.col("bytes") >= MIN_REVISIT) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return both.select(
-        *columns[:-1], F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to")
-    )
+        "page_id", "url", "payload", "digest", "bytes",
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"),
+    )
 
 
 def _escaped(url: str) -> str:
