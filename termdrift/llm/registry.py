@@ -11,6 +11,7 @@ QUERIES = {
     "op6_simhash": "simhash",
     "op7_byte_bpe": "byte_bpe",
     "op8_secrets": "secrets",
+    "op9_topk": "topk",
     "op10_warc": "warc",
 }
 
