@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query name -> module; each module has the query as a function of that name, and ORACLE_SQL if SQL can express it.
 QUERIES = {
     "op3_line_quality": "line_quality",
+    "op4_toxicity": "toxicity",
     "op5_mixing": "mixing",
     "op6_simhash": "simhash",
     "op7_byte_bpe": "byte_bpe",
