@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name -> module; each module has the query as a function of that name, and ORACLE_SQL if SQL can express it.
 QUERIES = {
+    "op1_chat": "chat",
     "op2_pseudonyms": "pseudonyms",
     "op3_line_quality": "line_quality",
     "op4_toxicity": "toxicity",
