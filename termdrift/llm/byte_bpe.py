@@ -16,7 +16,9 @@ import hashlib
 from heapq import heappop, heappush
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents, per_text
 
@@ -184,8 +186,15 @@ def _codec(spark: SparkSession, path: str, pattern: str):
     return lambda: Codec(read_ranks(sent.value), pattern)
 
 
+def _arrays(ids: list[str]) -> pa.Array:
+    """Decimal ids, joined by blanks, as arrays of numbers."""
+    sizes = [x.count(" ") + 1 if x else 0 for x in ids]
+    values = np.fromstring(" ".join(filter(None, ids)), np.int32, sep=" ")
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
 def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and ids (array of int): each whole text encoded, without special tokens.
+    """id_col, n_tokens and ids (array of int): each whole text encoded, without special tokens.
 
     path: a rank file readable by the driver. A null or empty text gets an empty array; repeated
     rows each get a row; an empty table gives an empty one; other columns are left out, so their
@@ -195,9 +204,10 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "d
 
     def start():
         codec = make()
-        return lambda texts: [[[int(i) for i in x.split()] for x in codec.encode(texts)]]
+        return lambda texts: [_arrays(codec.encode(texts))]
 
-    return per_text(df, start, "ids array<int>", (id_col,), text_col)
+    done = per_text(df, start, "ids array<int>", (id_col,), text_col)
+    return done.select(id_col, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
 def decode_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -211,8 +221,6 @@ def decode_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", ids_co
         codec = make()
         return lambda texts: [[codec.decode(t or "").decode("utf-8", "replace") for t in texts]]
 
-    from pyspark.sql import functions as F
-
     joined = df.select(id_col, F.concat_ws(" ", F.col(ids_col).cast("array<string>")).alias("_ids"))
     return per_text(joined, start, "text string", (id_col,), "_ids")
 

@@ -78,7 +78,7 @@ def per_text(
     """Columns keep of df with new columns computed from whole texts.
 
     make is called once in each task and returns a function from a list of texts (None for
-    null) to the list of new columns, each a list as long as the texts. size_of: the column whose
+    null) to the list of new columns, each a list or array as long as the texts. size_of: the column whose
     bytes count for a slice, if column itself is no text.
     """
     schema = StructType([df.schema[c] for c in keep]).fields
@@ -90,7 +90,7 @@ def per_text(
         for part in slices(batches, size_of or column):
             new = work(part.column(column).to_pylist())
             columns = [part.column(c).cast(arrow.field(i).type) for i, c in enumerate(keep)]
-            columns += [pa.array(v, arrow.field(n + i).type) for i, v in enumerate(new)]
+            columns += [v.cast(arrow.field(n + i).type) if isinstance(v, pa.Array) else pa.array(v, arrow.field(n + i).type) for i, v in enumerate(new)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     extra = [c for c in (column, size_of) if c and c not in keep]
