@@ -211,7 +211,8 @@ def taken_words(df: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = placed(sized, recipe, mix)
     times = slot_table(spark, recipe, mix).groupBy("source_index", "block").agg(F.count(F.lit(1)).alias("times"))
     columns = ("doc_id", "size", "source_size", "target")
-    found = pieces(rows, mix).join(times, ["source_index", "block"], "left")
+    # Slots are made from a range, whose size the planner takes for theirs: never broadcast them.
+    found = pieces(rows, mix).join(times.hint("merge"), ["source_index", "block"], "left")
     some = found.groupBy("source_index", "start", *columns).agg(F.sum((F.col("high") - F.col("low")) * F.coalesce("times", F.lit(0))).alias("taken"))
     none = rows.where("size = 0").select(*columns, F.lit(0).cast("bigint").alias("taken"))
     return some.select(*columns, "taken").unionByName(none)
@@ -229,7 +230,7 @@ def mix_documents(df: DataFrame, mix: Mix = Mix()) -> DataFrame:
     sized = sized_documents(df)
     recipe = plan(sized, mix)
     slots = slot_table(spark, recipe, mix).select("source_index", "block", "pass")
-    found = pieces(placed(sized, recipe, mix), mix).join(slots, ["source_index", "block"])
+    found = pieces(placed(sized, recipe, mix), mix).join(slots.hint("merge"), ["source_index", "block"])
     spans = found.groupBy("doc_id", "row_hash", "source_index", "start", "pass").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("_spans"))
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     whole = df.select(
