@@ -26,7 +26,7 @@ from .common import arrow_schema, join_unique, shared_path, slices, written
 
 #: Payloads below this size are always stored.
 MIN_REVISIT = 100
-FILE_BYTES, GAP_BYTES, READ_BYTES, SHARE_BYTES = 512 << 20, 64 << 10, 8 << 20, 64 << 20
+FILE_BYTES, GAP_BYTES, READ_BYTES, SHARE_BYTES = 512 << 20, 64 << 10, 8 << 20, 16 << 20
 
 INDEX = "page_id bigint, url string, file string, offset bigint, length bigint, payload_digest string, record_type string"
 RECORD = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
@@ -162,8 +162,11 @@ def read_records(index: DataFrame, path: str, *, payloads: bool = False) -> Data
                     out.append((page and int(page[0]), x.get("warc-target-uri"), x["payload_bytes"], digest, x["warc-type"], to and int(to[0]), x["payload"].decode()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
+    # Index rows are small however much they point to, so the number of tasks is set by the bytes to read.
     share = F.floor(F.col("offset") / SHARE_BYTES)
-    return index.select("file", "offset", "length").repartition(F.col("file"), share).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(8, 2 * total // SHARE_BYTES)
+    return index.select("file", "offset", "length").repartition(tasks, F.col("file"), share).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
 def archive_pages(pages: DataFrame, path: str) -> DataFrame:
