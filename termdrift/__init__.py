@@ -1 +1,18 @@
 """Spark-native comparison of annotation releases over exact sequence identities."""
+
+from termdrift.functions.evidence import EvidencePolicy
+from termdrift.functions.text import normalize_sequence, sequence_digest, sequence_id
+from termdrift.operators.compare import ComparisonResult, compare_annotations
+from termdrift.operators.identity import IdentityMap, SequenceDataset, SequenceIndex
+from termdrift.operators.ontology import Ontology
+from termdrift.operators.snapshot import AnnotationSnapshot
+from termdrift.plans.issues import Report, ValidationError, ValidationIssue
+from termdrift.sources.fasta import FastaReader
+from termdrift.sources.files import Source
+from termdrift.sources.gaf import GafReader
+
+__all__ = [
+    "AnnotationSnapshot", "ComparisonResult", "EvidencePolicy", "FastaReader", "GafReader", "IdentityMap", "Ontology", "Report",
+    "SequenceDataset", "SequenceIndex", "Source", "ValidationError", "ValidationIssue", "compare_annotations",
+    "normalize_sequence", "sequence_digest", "sequence_id",
+]
