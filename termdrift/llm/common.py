@@ -97,6 +97,27 @@ def per_text(
     return df.select(*keep, *extra).mapInArrow(run, out)
 
 
+def with_texts(df: DataFrame, make: Callable[[], Callable[[list], list]], text_col: str, chars_col: str, *, drop: bool = False) -> DataFrame:
+    """df with another text_col; chars_col, if df has it, becomes the new texts' length.
+
+    make is called once in each task and returns a function from a list of texts to that of the
+    new ones. drop: rows for which that is None go. All columns, whatever their names, stay.
+    """
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+
+    def start():
+        work = make()
+        return lambda texts: [work(texts)]
+
+    done = per_text(rows, start, "_new string", tuple(names.values()), names[text_col])
+    done = done.where("_new IS NOT NULL") if drop else done
+    out = {text_col: F.col("_new")}
+    if chars_col in names and chars_col != text_col:
+        out[chars_col] = F.char_length("_new").cast(df.schema[chars_col].dataType)
+    return done.select(*(out.get(c, F.col(n)).alias(c) for c, n in names.items()))
+
+
 #: A key with more than 1/HOT of all rows is hot; there are fewer than HOT such keys, whatever the input's size.
 HOT = 2000
 
@@ -120,4 +141,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "documents", "join_unique", "per_text", "shared_dir", "shared_path", "slices", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "documents", "join_unique", "per_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

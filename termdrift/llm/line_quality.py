@@ -21,9 +21,8 @@ from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import documents, per_text
+from .common import documents, per_text, with_texts
 
 # Fixed values.
 SYMBOLS = "#*$%&|<>"
@@ -44,7 +43,7 @@ class Rules:
 
     min_words: int = 20
     repeat_percent: int = 30
-    max_symbol_share: float = 0.1
+    max_symbol_share: float = 0.15
     max_shout_share: float = 0.5
     max_separator_share: float = 0.2
     max_menu_words: int = 12
@@ -184,20 +183,9 @@ def clean_documents(df: DataFrame, rules: Rules = Rules(), *, text_col: str = "t
 
     def start():
         judge = LineCleaner(rules).judge
+        return lambda texts: [x["cleaned"] if x["kept"] else None for x in map(judge, texts)]
 
-        def work(texts):
-            found = [judge(t) for t in texts]
-            return [[{"text": x["cleaned"] if x["kept"] else None, "kept": x["kept"]} for x in found]]
-
-        return work
-
-    judged = per_text(df, start, "_judged struct<text: string, kept: boolean>", tuple(df.columns), text_col)
-    kept = judged.where(F.col("_judged.kept"))
-    out = [F.col("_judged.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
-    if chars_col in df.columns and chars_col != text_col:
-        at = df.columns.index(chars_col)
-        out[at] = F.char_length(F.col("_judged.text")).cast(df.schema[chars_col].dataType).alias(chars_col)
-    return kept.select(*out)
+    return with_texts(df, start, text_col, chars_col, drop=True)
 
 
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

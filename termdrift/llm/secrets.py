@@ -14,9 +14,8 @@ from collections.abc import Iterable
 from math import log
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import documents, per_text
+from .common import documents, per_text, with_texts
 
 # Fixed values.
 KINDS = ("assign", "access", "hex", "random")
@@ -173,13 +172,9 @@ def redact_documents(df: DataFrame, *, text_col: str = "text", chars_col: str =
 
     def start():
         redact = SecretScanner().redact
-        return lambda texts: [[redact(t) for t in texts]]
+        return lambda texts: [redact(t) for t in texts]
 
-    done = per_text(df, start, "_redacted string", tuple(df.columns), text_col)
-    out = {text_col: F.col("_redacted").alias(text_col)}
-    if chars_col in df.columns and chars_col != text_col:
-        out[chars_col] = F.char_length("_redacted").cast(df.schema[chars_col].dataType).alias(chars_col)
-    return done.select(*(out.get(c, F.col(f"`{c}`")) for c in df.columns))
+    return with_texts(df, start, text_col, chars_col)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
