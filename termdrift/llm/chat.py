@@ -47,8 +47,8 @@ MARKER = re.compile(r"[ \t]*(?:#{1,4}[ \t]*|\*\*|[\[<]\|?|>[ \t]*)?([A-Za-z]{1,1
 START = [log(p) for p in (0.38, 0.6, 0.02)]
 BETWEEN_ROWS = [[log(p) for p in row] for row in ((0.04, 0.94, 0.02), (0.01, 0.07, 0.92), (0.01, 0.92, 0.07))]
 WITHIN_ROW = [[log(p) for p in row] for row in ((0.98, 0.01, 0.01), (0.002, 0.988, 0.01), (0.002, 0.01, 0.988))]
-#: A marker's probability by its role (rows) and the line's (columns); fields of a table are surer.
-MARKED, FIELD = ([[log(p if i == j else (1 - p) / 2) for j in range(3)] for i in range(3)] for p in (0.97, 0.998))
+#: A marker's probability by its role (rows) and the line's (columns); a table's fields are surer still.
+MARKED, FIELD = ([[log(p if i == j else (1 - p) / 2) for j in range(3)] for i in range(3)] for p in (0.995, 0.998))
 #: Lines with fewer characters than these, by role, and lines that ask.
 LENGTHS = (40, 120, 300, 800)
 LENGTH = [[log(p) for p in row] for row in ((0.1, 0.3, 0.3, 0.2, 0.1), (0.2, 0.35, 0.25, 0.14, 0.06), (0.1, 0.2, 0.3, 0.25, 0.15))]
@@ -202,7 +202,7 @@ def _long(rows: DataFrame, pieces: int) -> DataFrame:
 def format_chats(df: DataFrame, long: int = LONG) -> DataFrame:
     """conv_id, turn, part, role and rendered: the turns recovered from rows (conv_id, turn, role, text).
 
-    A row is ordered by turn (null last; ties by role, then text) and gives a turn for each stretch
+    A row is ordered by turn (null last; ties by role, then a hash of the text) and gives a turn for each stretch
     of lines with one role, numbered by part from 0. A null or unknown role is one to recover; a
     null or empty text gives an empty turn. A null conv_id makes a row a conversation of its own.
     Repeated rows repeat turns, an empty table gives an empty one, other columns are ignored.
@@ -217,7 +217,7 @@ def format_chats(df: DataFrame, long: int = LONG) -> DataFrame:
         few = sizes.select("conv_id")
         few = F.broadcast(few) if n_long <= 100_000 else few
         short = rows.join(few, "conv_id", "left_anti")
-    short = short.repartition(F.col("conv_id"), alone).sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
+    short = short.repartition(F.col("conv_id"), alone).sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", F.xxhash64("text"), "text")
     out = short.mapInArrow(_decode, OUT)
     return out.union(_long(rows.join(few, "conv_id", "left_semi"), -(-n_rows // long))) if n_long else out
 
