@@ -190,3 +190,57 @@ def clean_documents(df: DataFrame, rules: Rules = Rules(), *, text_col: str = "t
 
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir))
+
+
+_ONE_OF = ", ".join(f"'{x.decode()}'" for x in sorted(SEPARATORS))
+_MENU = ", ".join(f"'{x.decode()}'" for x in sorted(MENU))
+_PHRASES = " OR ".join(f"contains(lower(line), '{x}')" for x in PHRASES)
+_R = Rules()
+
+ORACLE_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), ws AS (
+  SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d
+), w AS (
+  SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM ws
+), g AS (
+  SELECT rid, i, string_agg(word, ' ') OVER s AS gram, count(*) OVER s AS n FROM w
+  WINDOW s AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)
+), twice AS (
+  SELECT rid, i, n = {WINDOW} AND count(*) OVER (PARTITION BY rid, gram, n) > 1 AS twice FROM g
+), covered AS (
+  SELECT rid, bool_or(twice) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS covered FROM twice
+), repeats AS (
+  SELECT rid, count(*) FILTER (covered) AS n_repeat_words FROM covered GROUP BY rid
+), ls AS (
+  SELECT rid, string_split(t, chr(10)) AS lines FROM d
+), l AS (
+  SELECT rid, unnest(lines) AS line, generate_subscripts(lines, 1) AS ln FROM ls
+), lw AS (
+  SELECT rid, ln, line, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM l
+), judged AS (
+  SELECT rid, len(words) AS n, row_number() OVER (PARTITION BY rid, line ORDER BY ln) > 1 AS again,
+    len(regexp_extract_all(line, '[#*$%&|<>]')) > {_R.max_symbol_share} * strlen(line)
+    OR (contains(line, '!!') AND len(list_filter(words, lambda x: ends_with(x, '!!'))) > {_R.max_shout_share} * len(words))
+    OR (len(words) <= {_R.max_menu_words} AND NOT regexp_matches(line, '[\p{{L}}\p{{N}}]'))
+    OR (len(list_filter(words, lambda x: x IN ({_ONE_OF}))) >= 2 AND len(list_filter(words, lambda x: x IN ({_ONE_OF}))) > {_R.max_separator_share} * len(words))
+    OR (len(words) BETWEEN 2 AND {_R.max_menu_words} AND len(list_filter(words, lambda x: lower(x) NOT IN ({_MENU}))) = 0)
+    OR {_PHRASES}
+    OR (len(words) >= {_R.min_echo_words} AND len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) > {_R.max_echo_share} * len(words)) AS fails
+  FROM lw WHERE len(words) > 0
+), kept AS (
+  SELECT rid, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(n) FILTER (NOT again AND NOT fails), 0) AS kept_words FROM judged GROUP BY rid
+), counts AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(kept_words, 0) AS kept_words
+  FROM d JOIN ws USING (rid) LEFT JOIN kept USING (rid) LEFT JOIN repeats USING (rid)
+), failed AS (
+  SELECT *, n_words < {_R.min_words} OR 100 * n_repeat_words > {_R.repeat_percent} * n_words AS base_failed FROM counts
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND kept_words >= {_R.min_kept_share} * n_words AS kept, CAST(kept_words AS BIGINT) AS kept_words
+FROM failed
+"""
