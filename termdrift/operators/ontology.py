@@ -54,6 +54,30 @@ def walk(seeds: DataFrame, steps: DataFrame) -> DataFrame:
     return seen
 
 
+def nearest(new_resolve: DataFrame, new_edges: DataFrame, old_resolve: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
+    """node, target_term, distance: for identifiers that the old ontology lacks, the nearest it has.
+
+    One search for all nodes, downwards from what the old ontology knows: a node is settled at the
+    first level at which a parent is, with the targets of all its parents settled one level before.
+    So each edge is looked at once, however many annotations ask. Levels are kept in the checkpoint
+    folder; only whether a level has rows reaches the driver.
+    """
+    steps = step_edges(new_edges, new_resolve, relations)
+    steps = cut(steps.join(old_resolve, steps.child == old_resolve.any_id, "left_anti"))
+    frontier = old_resolve.select(F.col("any_id").alias("node"), F.col("canonical_id").alias("target_term"))
+    settled, level = None, 0
+    while True:
+        level += 1
+        ahead = steps.join(frontier, steps.parent == frontier.node).select(F.col("child").alias("node"), "target_term").distinct()
+        if settled is not None:
+            ahead = ahead.join(settled.select("node").distinct(), "node", "left_anti")
+        frontier = cut(ahead)
+        found = frontier.select("node", "target_term", F.lit(level).alias("distance"))
+        settled = found if settled is None else settled.union(found)
+        if frontier.isEmpty():
+            return settled
+
+
 def project(terms: DataFrame, new_resolve: DataFrame, new_edges: DataFrame, old_resolve: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
     """Where each distinct term (term_id) of the new ontology lies in the old one.
 
@@ -62,36 +86,17 @@ def project(terms: DataFrame, new_resolve: DataFrame, new_edges: DataFrame, old_
     for each of the old terms met at the first level that meets any) or unmappable.
     """
     asked = terms.select("term_id").distinct().join(new_resolve.withColumnRenamed("any_id", "term_id"), "term_id", "left")
-    unknown = asked.where("canonical_id IS NULL").select("term_id", F.col("term_id").alias("source_term"), F.lit(None).cast("string").alias("target_term"), F.lit(None).cast("int").alias("distance"), F.lit("unknown_source_term").alias("kind"))
-    old = old_resolve.select(F.col("any_id").alias("old_any"), F.col("canonical_id").alias("target_term"))
-    known = asked.where("canonical_id IS NOT NULL").withColumnRenamed("canonical_id", "source_term")
-    looked = known.join(old, known.source_term == old.old_any, "left").drop("old_any")
-    kind = F.when(F.col("target_term") == F.col("source_term"), "same").otherwise("alternate_id")
-    direct = looked.where("target_term IS NOT NULL").select("term_id", "source_term", "target_term", F.lit(0).alias("distance"), kind.alias("kind"))
-
-    # Search only for terms that the old ontology lacks; a seed leaves the frontier at its first hit.
-    lost = cut(looked.where("target_term IS NULL").select("term_id", "source_term"))
-    steps = step_edges(new_edges, new_resolve, relations)
-    ahead = lost.select(F.col("source_term").alias("seed"), F.col("source_term").alias("node"), F.lit(None).cast("string").alias("target_term")).distinct()
-    steps = cut(steps) if not lost.isEmpty() else steps
-    visited, hits, level = ahead.select("seed", "node"), None, 0
-    while True:
-        done = ahead.where("target_term IS NOT NULL").select("seed").distinct()
-        frontier = ahead.join(done, "seed", "left_anti").select("seed", "node")
-        if frontier.isEmpty():
-            break
-        level += 1
-        ahead = frontier.join(steps, frontier.node == steps.child).select("seed", F.col("parent").alias("node")).distinct()
-        ahead = ahead.join(visited, ["seed", "node"], "left_anti").join(old, F.col("node") == F.col("old_any"), "left")
-        ahead = cut(ahead.select("seed", "node", "target_term"))
-        visited = visited.union(ahead.select("seed", "node"))
-        hit = ahead.where("target_term IS NOT NULL").select("seed", "target_term", F.lit(level).alias("distance")).distinct()
-        hits = hit if hits is None else hits.union(hit)
-    if hits is None:
-        hits = lost.sparkSession.createDataFrame([], "seed string, target_term string, distance int")
-    far = lost.join(hits.withColumnRenamed("seed", "source_term"), "source_term", "left")
-    far = far.select("term_id", "source_term", "target_term", F.col("distance").cast("int"), F.when(F.col("target_term").isNull(), "unmappable").otherwise("nearest_ancestor").alias("kind"))
-    return unknown.union(direct).union(far)
+    here = old_resolve.select(F.col("any_id").alias("canonical_id"), F.col("canonical_id").alias("here"))
+    far = nearest(new_resolve, new_edges, old_resolve, relations).withColumnRenamed("node", "canonical_id").withColumnRenamed("target_term", "there")
+    rows = asked.join(here, "canonical_id", "left").join(far, "canonical_id", "left")
+    kind = (
+        F.when(F.col("canonical_id").isNull(), "unknown_source_term").when(F.col("here") == F.col("canonical_id"), "same")
+        .when(F.col("here").isNotNull(), "alternate_id").when(F.col("there").isNotNull(), "nearest_ancestor").otherwise("unmappable")
+    )
+    return rows.select(
+        "term_id", F.coalesce("canonical_id", "term_id").alias("source_term"), F.coalesce("here", "there").alias("target_term"),
+        F.when(F.col("here").isNotNull(), 0).otherwise(F.col("distance")).cast("int").alias("distance"), kind.alias("kind"),
+    )
 
 
 def has_cycle(resolve: DataFrame, edges: DataFrame) -> bool:
