@@ -10,9 +10,13 @@ from termdrift.plans.issues import Report, ValidationError, ValidationIssue
 from termdrift.sources.fasta import FastaReader
 from termdrift.sources.files import Source
 from termdrift.sources.gaf import GafReader
+from termdrift.vocabulary import ChangeKind, EvidenceCategory, ProjectionKind, Severity
+
+GeneOntology, ValidationReport = Ontology, Report
 
 __all__ = [
-    "AnnotationSnapshot", "ComparisonResult", "EvidencePolicy", "FastaReader", "GafReader", "IdentityMap", "Ontology", "Report",
-    "SequenceDataset", "SequenceIndex", "Source", "ValidationError", "ValidationIssue", "compare_annotations",
+    "AnnotationSnapshot", "ChangeKind", "ComparisonResult", "EvidenceCategory", "EvidencePolicy", "FastaReader", "GafReader", "GeneOntology",
+    "IdentityMap", "Ontology", "ProjectionKind", "Report", "SequenceDataset", "SequenceIndex", "Severity", "Source", "ValidationError",
+    "ValidationIssue", "ValidationReport", "compare_annotations",
     "normalize_sequence", "sequence_digest", "sequence_id",
 ]

@@ -22,7 +22,7 @@ class ValidationIssue(NamedTuple):
     line: int | None = None
 
     def __str__(self) -> str:
-        place = self.source or "<no source>"
+        place = self.source or "<unknown source>"
         return f"{place if self.line is None else f'{place}:{self.line}'}: {self.severity}: {self.code}: {self.message}"
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from termdrift.functions.text import BLANKS, header_identifier, strip
 from termdrift.plans.issues import ERROR, Report, issue, issue_rows
 
-from .files import Source, numbered_lines
+from .files import Source, encoding_issues, numbered_lines
 
 # Fixed value: the twenty amino acids and the ambiguous or rare letters.
 PROTEIN_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -73,7 +73,7 @@ class FastaReader:
         early = issue_rows(
             numbered.where("record = 0"), issue("FASTA_SEQUENCE_BEFORE_HEADER", "residues stand before any header", ERROR, **place)
         )
-        return accepted.select("identifier", "sequence", "description", "source", "line"), Report.of(early, issues)
+        return accepted.select("identifier", "sequence", "description", "source", "line"), Report.of(encoding_issues(lines), early, issues)
 
 
 def read_all(spark: SparkSession, sources: Iterable[Source | str], *, strict: bool = True) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from termdrift.plans.issues import ERROR, issue, issue_rows
+
 
 @dataclass(frozen=True)
 class Source:
@@ -82,3 +84,9 @@ def numbered_lines(spark: SparkSession, source: Source | str | PathLike) -> Data
     return rows.join(sums, ["file", "block"]).select(
         F.lit(source.name).alias("source"), "file", "block", (F.col("id") - F.col("first") + F.col("offset") + 1).alias("line"), "value"
     )
+
+
+def encoding_issues(lines: DataFrame) -> DataFrame:
+    """An error for each line that has bytes that are no UTF-8."""
+    faulty = lines.where(~F.is_valid_utf8("value"))
+    return issue_rows(faulty, issue("INVALID_TEXT_ENCODING", "the line isn't valid UTF-8", ERROR, source=F.col("source"), line=F.col("line")))

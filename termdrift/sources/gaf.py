@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termdrift.functions.text import parts_of, strip
 from termdrift.plans.issues import ERROR, WARNING, Report, issue, issue_rows
 
-from .files import Source, numbered_lines
+from .files import Source, encoding_issues, numbered_lines
 
 # The columns in order, and the aspects.
 COLUMNS = (
@@ -99,4 +99,4 @@ class GafReader:
             issue("MISSING_GAF_VERSION", "no !gaf-version line", ERROR, **place, when=F.col("version").isNull()),
             issue("UNSUPPORTED_GAF_VERSION", F.concat(F.lit("not a 2.x version: "), "version"), ERROR, **place, when=~F.col("version").startswith("2")),
         )
-        return GafFile(accepted_rows(rows), meta, Report.of(issue_rows(rows, *row_issues()), header))
+        return GafFile(accepted_rows(rows), meta, Report.of(encoding_issues(lines), issue_rows(rows, *row_issues()), header))

@@ -112,7 +112,7 @@ def test_reports(spark):
     assert not report.is_valid and report.warnings.count() == 1
     with pytest.raises(ValidationError) as e:
         report.raise_for_errors()
-    assert str(e.value) == "f:3: error: E: wrong" and str(ValidationIssue("W", "m", "warning")) == "<no source>: warning: W: m"
+    assert str(e.value) == "f:3: error: E: wrong" and str(ValidationIssue("W", "m", "warning")) == "<unknown source>: warning: W: m"
 
 
 def test_order_and_partitions_do_not_matter(spark):

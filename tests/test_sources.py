@@ -96,6 +96,15 @@ def test_annotations_keep_their_fields(spark, tmp_path):
     assert {r.key: r.value for r in file.metadata.collect()} == {"gaf-version": "2.2", "date": "two : three"}
 
 
+def test_bytes_that_are_no_text(spark, tmp_path):
+    (tmp_path / "x.fasta").write_bytes(b">A \xff\nACD\n")
+    records, report = FastaReader().read(spark, str(tmp_path / "x.fasta"), strict=False)
+    assert records.count() == 1 and codes(report) == [("INVALID_TEXT_ENCODING", 1)]
+    (tmp_path / "x.gaf").write_bytes(b"!gaf-version: 2.2\n" + row(c10="\xff").encode("latin-1"))
+    with pytest.raises(ValidationError, match="INVALID_TEXT_ENCODING"):
+        GafReader().read(spark, str(tmp_path / "x.gaf"))
+
+
 def test_faulty_annotations(spark, tmp_path):
     rows = [row(), row(c17="x\ty"), "   ", row(c4="a|b"), row(c9="X"), row(c5="XX:1"), row(c7=""), row(c14="2020-01-01"), row(c14=""), row(c9="Y", c7="")]
     path = put(tmp_path / "x.gaf", "\n".join(rows))
