@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import documents, per_text
 
-#: Encoded words that a task remembers, about; beyond them it starts afresh (results don't change).
-REMEMBERED = 600_000
+#: Encoded words that a task remembers, about: those it met last (results don't depend on it).
+REMEMBERED = 150_000
+#: Bytes of text encoded at once; a longer text makes a slice of its own.
+SLICE_BYTES = 3 << 20
+#: Slots of the table of mergeable pairs.
+SLOTS = 1 << 20
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -54,18 +58,18 @@ class MergeReplay:
                     keys.append(left << 32 | right)
                     merged.append(r)
         pairs = np.array(keys, np.int64)
-        self.keys, self.merged = np.full(1 << 22, -1, np.int64), np.full(1 << 22, self.NONE, np.int32)
+        self.keys, self.merged = np.full(SLOTS, -1, np.int64), np.full(SLOTS, self.NONE, np.int32)
         slot = self.slot(pairs)
         self.keys[slot], self.merged[slot] = pairs, merged
         lost = self.keys[slot] != pairs  # another pair has the slot
         order = np.argsort(pairs[lost])
         self.lost_keys, self.lost_merged = np.append(pairs[lost][order], 1 << 62), np.append(np.array(merged)[lost][order], self.NONE)
-        self.shared = np.zeros(1 << 22, bool)
+        self.shared = np.zeros(SLOTS, bool)
         self.shared[slot[lost]] = True
 
     @staticmethod
     def slot(pairs: np.ndarray) -> np.ndarray:
-        return ((pairs ^ (pairs >> 29)) * 0x9E3779B97F4A7C1 >> 31) & ((1 << 22) - 1)
+        return ((pairs ^ (pairs >> 29)) * 0x9E3779B97F4A7C1 >> 31) & (SLOTS - 1)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """What pairs merge to, NONE for those that don't."""
@@ -159,15 +163,18 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.replay = MergeReplay(ranks)
         self.known: dict[str, str] = {}  # a word's ids as decimal text
+        self.before: dict[str, str] = {}  # the same for words met before those of known
         self.bytes_of = {str(i): t for t, i in ranks.items()}
 
     def encode(self, texts: list[str | None]) -> list[str]:
         """Per text its ids in decimal, joined by one blank; null is an empty text."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
         split = [self.find(t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(known))
+        new = set().union(*split).difference(known)
+        known.update((w, before[w]) for w in new.intersection(before))
+        new = list(new.difference(before))
         known.update(zip(new, self.replay.encode([w.encode() for w in new])))
         return [" ".join(map(known.__getitem__, words)) for words in split]
 
@@ -206,7 +213,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "d
         codec = make()
         return lambda texts: [_arrays(codec.encode(texts))]
 
-    done = per_text(df, start, "ids array<int>", (id_col,), text_col)
+    done = per_text(df, start, "ids array<int>", (id_col,), text_col, slice_bytes=SLICE_BYTES)
     return done.select(id_col, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
@@ -247,7 +254,7 @@ def token_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
 
         return work
 
-    return per_text(df, start, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return per_text(df, start, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", slice_bytes=SLICE_BYTES)
 
 
 def vocabulary() -> tuple[str, str]:

@@ -46,15 +46,15 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the values of a column have some SLICE_BYTES together."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the values of a column have some bytes (most, if they can) together."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
-            if total and total + n > SLICE_BYTES:
+            if total and total + n > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
@@ -74,12 +74,13 @@ def per_text(
     keep: tuple[str, ...] = ("doc_id",),
     column: str = "text",
     size_of: str | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Columns keep of df with new columns computed from whole texts.
 
     make is called once in each task and returns a function from a list of texts (None for
     null) to the list of new columns, each a list or array as long as the texts. size_of: the column whose
-    bytes count for a slice, if column itself is no text.
+    bytes count for a slice (slice_bytes, about), if column itself is no text.
     """
     schema = StructType([df.schema[c] for c in keep]).fields
     out = StructType(schema + StructType.fromDDL(fields).fields)
@@ -87,7 +88,7 @@ def per_text(
 
     def run(batches):
         work = make()
-        for part in slices(batches, size_of or column):
+        for part in slices(batches, size_of or column, slice_bytes):
             new = work(part.column(column).to_pylist())
             columns = [part.column(c).cast(arrow.field(i).type) for i, c in enumerate(keep)]
             columns += [v.cast(arrow.field(n + i).type) if isinstance(v, pa.Array) else pa.array(v, arrow.field(n + i).type) for i, v in enumerate(new)]

@@ -87,7 +87,7 @@ class MarkovRatio:
 
     def score(self, text: str) -> float:
         """Nats by which text (of ALPHABET's characters) is likelier as a random string."""
-        return sum(map(self.ratio.__getitem__, zip(" " + text, text)))
+        return sum(self.ratio.get(pair, 0.0) for pair in zip(" " + text, text))
 
     def is_random(self, text: str) -> bool:
         """Long enough, at least two kinds of characters, and both thresholds met."""
