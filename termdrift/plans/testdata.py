@@ -100,11 +100,11 @@ class Inputs:
     @cached_property
     def annotations(self) -> DataFrame:
         """Annotations of both releases: those of old have is_old."""
-        rows = self.table("lineitem").where("l_orderkey % 3 = 0").crossJoin(F.broadcast(self.numbers.agg(F.count(F.lit(1)).alias("n_terms"))))
+        rows, n_terms = self.table("lineitem").where("l_orderkey % 3 = 0"), self.numbers.count()
         doc = whole(F.col("l_partkey"), 2)
         line = F.col("l_linenumber").cast("bigint")
         is_old = F.col("l_shipdate") < F.lit("1999-01-01 00:00:00").cast("timestamp")
-        rows = rows.withColumn("doc", doc).withColumn("n", (doc * 13 + line * 29) % F.col("n_terms")).withColumn("is_old", is_old)
+        rows = rows.withColumn("doc", doc).withColumn("n", (doc * 13 + line * 29) % n_terms).withColumn("is_old", is_old)
         n = F.col("n")
         name = F.when((line == 2) & (n % 11 == 4), term_name(n + 9_000_000)).when(n % 23 == 7, term_name(n + 8_000_000)).otherwise(term_name(n))
         subject = F.when(line == 3, F.concat(F.lit("S"), whole(F.col("doc"), 8))).otherwise(F.concat(F.lit("P"), "doc"))
