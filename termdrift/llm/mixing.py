@@ -38,7 +38,7 @@ class Mix:
     shard_slots: int = 1024
     seed: int = 11
     #: Documents in a bucket of the running word count, about.
-    bucket_rows: int = 2_000
+    bucket_rows: int = 500
 
 
 def targets(sizes: Sequence[int], mix: Mix = Mix()) -> list[float]:
