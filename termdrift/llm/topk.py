@@ -93,7 +93,8 @@ def top_k(df: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> DataF
     Scores are inner products of floor(scale * x). A query's candidates are all rows of another
     vec_id and as many components (fewer than k: all); ties go to the smaller vec_id. Repeated
     rows are candidates of their own; a query that is repeated is asked once, with its smallest
-    vector. An empty table gives an empty one; other columns are ignored.
+    vector. Vectors without components match nothing. An empty table gives an empty one; other
+    columns are ignored.
     """
     spark = df.sparkSession
     rows = written(scaled(df, scale), "topk-rows")
