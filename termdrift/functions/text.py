@@ -21,10 +21,15 @@ def normalize_sequence(sequence: Column) -> Column:
     return F.upper(F.regexp_replace(sequence, BLANKS, ""))
 
 
+def normalized_digest(plain: Column) -> Column:
+    """SHA-256 (hex) of a sequence that is normalized already; a character beyond ASCII is an error."""
+    beyond = F.octet_length(plain) != F.char_length(plain)
+    return F.when(beyond, F.raise_error(F.lit("a sequence has characters beyond ASCII"))).otherwise(F.sha2(plain, 256))
+
+
 def sequence_digest(sequence: Column) -> Column:
-    """SHA-256 (hex) of a normalized sequence; a character beyond ASCII is an error."""
-    plain = normalize_sequence(sequence)
-    return F.when(plain.rlike(r"[^\x00-\x7f]"), F.raise_error(F.lit("a sequence has characters beyond ASCII"))).otherwise(F.sha2(plain, 256))
+    """The digest of any sequence, which is normalized first."""
+    return normalized_digest(normalize_sequence(sequence))
 
 
 def sequence_id(sequence: Column) -> Column:

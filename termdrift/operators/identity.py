@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdrift.functions.text import normalize_sequence, sequence_digest
+from termdrift.functions.text import normalize_sequence, normalized_digest
 from termdrift.plans.issues import Report
+from termdrift.plans.stages import cut
 from termdrift.sources.fasta import FastaReader
 from termdrift.sources.files import Source
 
@@ -33,7 +34,7 @@ def keyed(sequences: DataFrame) -> DataFrame:
     """sequences with the normalized sequence, its hash and its length: the key of a match."""
     plain = normalize_sequence(F.col("sequence"))
     out = sequences.withColumn("sequence", plain)
-    return out.withColumn("seq_hash", sequence_digest(F.col("sequence"))).withColumn("seq_len", F.length("sequence"))
+    return out.withColumn("seq_hash", normalized_digest(F.col("sequence"))).withColumn("seq_len", F.length("sequence"))
 
 
 KEY = ["seq_hash", "seq_len", "sequence"]
@@ -102,7 +103,8 @@ class SequenceIndex:
         a collision of digests can't match. Aliases are a sorted set.
         """
         order = F.col(ordinal).cast("bigint") if ordinal else F.monotonically_increasing_id()
-        mine = keyed(targets.select(F.col("identifier").alias("target_id"), "sequence", order.alias("ordinal")))
+        # The cohort is used twice; releases are read once, and only what it wants of them is grouped.
+        mine = cut(keyed(targets.select(F.col("identifier").alias("target_id"), "sequence", order.alias("ordinal"))))
         wanted = mine.select(*KEY).distinct()
         alias = F.struct(F.col("identifier"), F.col("alias_source").alias("source"))
         found = keyed(self.entries).join(wanted, KEY, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_set(alias)).alias("aliases"))
