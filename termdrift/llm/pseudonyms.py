@@ -148,14 +148,19 @@ class Pseudonyms:
         return _refill(value, new)
 
     def phone(self, value: str) -> str | None:
-        """North American numbers stay such; of others the first two digits (the country) stay."""
+        """North American numbers stay such; of others the first two digits (the country) stay, or the 1 of +1."""
         digits = re.sub("[^0-9]", "", value)
         if value[0] != "+" or value[1] == "1":
             if len(digits) not in (10, 11) or (len(digits) == 11) != (value[0] == "+"):
                 return None
             d = digits[-10:]
             if d[0] in "01" or d[3] in "01":
-                return None
+                if len(digits) != 11 or digits[0] != "1":
+                    return None
+                while True:  # walked until no North American number again, so that it can be inverted
+                    d = self.text(d, "phone|1|other")
+                    if d[0] in "01" or d[3] in "01":
+                        return _refill(value, "1" + d)
             x = ((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:])
             x = self.permute(x, 800 * 800 * 10_000, "phone|1")
             x, line = divmod(x, 10_000)
