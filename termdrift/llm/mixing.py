@@ -2,18 +2,18 @@
 
 The words of a source, document after document, are packed into blocks of a fixed length. The
 output is a row of shards with a fixed number of block slots. How many slots each source gets in
-a shard is a multinomial draw, conditioned on the sources' totals so that targets are met: the
-draw of a range of shards is split in halves again and again (multivariate hypergeometric), each
-split from a seed of its own, so any task finds its shards' counts, and the numbers of their
-slots within each source, without the others. The k-th slot of a source with n blocks holds block
-permutation(k mod n), by a keyed pseudorandom permutation for each pass. Slots and the documents'
-pieces are then joined by block index.
+a shard is a multinomial draw, conditioned on the sources' totals so that targets are met: all
+slots lie in one keyed pseudorandom order, and where a shard's places in that order fall among
+the sources' totals, laid end to end, says how many slots of each it holds, and which. Any task
+draws any shard alone, in 64 bits, so the draw is the same one at every size. The k-th slot of a
+source with n blocks holds block permutation(k mod n), by a keyed permutation for each pass and
+source. Slots and the documents' pieces are then joined by block index.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil, floor
 
@@ -85,34 +85,18 @@ def permuted(k: np.ndarray, n: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def split(counts: np.ndarray, size: int, key: str) -> np.ndarray:
-    """Counts by source of the first size slots of a range, the range's being counts."""
+def shard_slots(counts: np.ndarray, first: int, last: int, mix: Mix = Mix()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, source, number within the source) of each slot of shards first to last - 1.
+
+    counts: slots of each source. A shard's counts by source are multivariate hypergeometric: a
+    multinomial draw given the totals.
+    """
     total = int(counts.sum())
-    if size >= total:
-        return counts
-    if total > 500_000_000:  # beyond what the generator takes; the draw's spread is then below a part in 10,000
-        exact = counts * (size / total)
-        out = np.floor(exact).astype(np.int64)
-        out[np.argsort(out - exact, kind="stable")[: size - int(out.sum())]] += 1
-        return out
-    seed = int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "big")
-    return np.random.Generator(np.random.PCG64(seed)).multivariate_hypergeometric(counts, size, method="marginals")
-
-
-def shard_counts(counts: np.ndarray, shards: int, first: int, last: int, mix: Mix = Mix()) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, slots by source before it, its slots by source) for shards first to last - 1."""
-    stack = [(0, shards, np.zeros_like(counts), counts)]
-    while stack:
-        low, high, before, own = stack.pop()
-        if high <= first or low >= last:
-            continue
-        if high - low == 1:
-            yield low, before, own
-            continue
-        mid = (low + high) // 2
-        part = split(own, (mid - low) * mix.shard_slots, f"{mix.seed}:{low}:{high}")
-        stack.append((mid, high, before + part, own - part))
-        stack.append((low, mid, before, part))
+    place = np.arange(first * mix.shard_slots, min(last * mix.shard_slots, total))
+    drawn = permuted(place, total, f"{mix.seed}:slots")
+    ends = np.cumsum(counts)
+    source = np.searchsorted(ends, drawn, "right")
+    return place // mix.shard_slots, source, drawn - (ends - counts)[source]
 
 
 def plan(sized: DataFrame, mix: Mix = Mix()) -> list[tuple]:
@@ -137,21 +121,17 @@ def slot_table(spark: SparkSession, recipe: list[tuple], mix: Mix = Mix()) -> Da
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            if not len(ids):
-                continue
-            got: dict[int, list] = {}
-            for shard, before, own in shard_counts(counts, shards, int(ids[0]), int(ids[-1]) + 1, mix):
-                for s in np.flatnonzero(own).tolist():
-                    got.setdefault(s, []).append((shard, int(before[s]), int(own[s])))
-            for s, parts in got.items():
-                shard = np.repeat([p[0] for p in parts], [p[2] for p in parts])
-                k = np.concatenate([np.arange(p[1], p[1] + p[2]) for p in parts])
-                turn = k // blocks[s]
-                block = np.empty_like(k)
-                for p in np.unique(turn).tolist():
-                    at = turn == p
-                    block[at] = permuted(k[at] % blocks[s], blocks[s], f"{mix.seed}:{recipe[s][1]}:{p}")
-                columns = (shard, np.full(len(k), s), turn, block)
+            for low in range(0, len(ids), 256):
+                some = ids[low : low + 256]
+                shard, source, k = shard_slots(counts, int(some[0]), int(some[-1]) + 1, mix)
+                turn, block = np.zeros_like(k), np.zeros_like(k)
+                for s in np.unique(source).tolist():
+                    own = np.flatnonzero(source == s)
+                    turn[own] = k[own] // blocks[s]
+                    for p in np.unique(turn[own]).tolist():
+                        at = own[turn[own] == p]
+                        block[at] = permuted(k[at] % blocks[s], blocks[s], f"{mix.seed}:{recipe[s][1]}:{p}")
+                columns = (shard, source, turn, block)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     parts = max(1, min(shards, shards // 64 + 1))
@@ -166,11 +146,30 @@ def sized_documents(df: DataFrame) -> DataFrame:
     )
 
 
+def running(rows: DataFrame, keys: list[str], bucket: str, words: str, out: str, levels: int = 2, width: int = 4096) -> DataFrame:
+    """rows (one for each keys and bucket, a number) with out: the sum of words in lower buckets.
+
+    Buckets are summed by levels, each width times coarser than the one below, so that no window
+    holds more than width rows but the topmost, whose buckets are width to the power of levels wide.
+    """
+    if not levels:
+        over = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+        return rows.withColumn(out, F.coalesce(F.sum(words).over(over), F.lit(0)))
+    wide, base = f"{bucket}_", f"{out}_"
+    rows = rows.withColumn(wide, F.floor(F.col(bucket) / width))
+    sums = running(rows.groupBy(*keys, wide).agg(F.sum(words).alias(words)), keys, wide, words, base, levels - 1, width)
+    over = W.partitionBy(*keys, wide).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    inner = rows.withColumn(out, F.coalesce(F.sum(words).over(over), F.lit(0)))
+    joined = inner.join(sums.drop(words), [*keys, wide])
+    return joined.withColumn(out, F.col(out) + F.col(base)).drop(wide, base)
+
+
 def placed(sized: DataFrame, recipe: list[tuple], mix: Mix = Mix()) -> DataFrame:
     """sized with source_index, source_size, target and start: the words of its source before it.
 
-    The running count goes by buckets: sums for each bucket, then within it, so that a source
-    with most rows is no single group.
+    The running count goes by buckets of different rows, and over the buckets by levels, so that a
+    source with most rows is no single group. Equal rows are counted once and then laid out one
+    after another, so that many copies of a row are no large group either.
     """
     spark = sized.sparkSession
     schema = "source_index int, recipe_source string, source_size bigint, target double"
@@ -178,14 +177,18 @@ def placed(sized: DataFrame, recipe: list[tuple], mix: Mix = Mix()) -> DataFrame
     if len(recipe) <= 100_000:
         sources = F.broadcast(sources)
     buckets = max(1, -(-sized.count() // mix.bucket_rows))
-    rows = sized.join(sources, F.col("source").eqNullSafe(F.col("recipe_source"))).drop("recipe_source")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    sums = rows.groupBy("source_index", "bucket").agg(F.sum("size").alias("words"))
-    over = W.partitionBy("source_index").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("source_index", "bucket", F.coalesce(F.sum("words").over(over), F.lit(0)).alias("base"))
+    once = sized.groupBy("doc_id", "source", "size", "row_hash").agg(F.count(F.lit(1)).alias("copies"))
+    rows = once.join(sources, F.col("source").eqNullSafe(F.col("recipe_source"))).drop("recipe_source")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(buckets)))
+    words = F.col("size") * F.col("copies")
+    sums = rows.groupBy("source_index", "bucket").agg(F.sum(words).alias("words"))
+    sums = running(sums, ["source_index"], "bucket", "words", "base").drop("words")
     within = W.partitionBy("source_index", "bucket").orderBy("doc_id", "row_hash").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return rows.join(sums, ["source_index", "bucket"]).withColumn("start", F.col("base") + F.col("inner")).drop("bucket", "inner", "base")
+    rows = rows.withColumn("inner", F.coalesce(F.sum(words).over(within), F.lit(0)))
+    rows = rows.join(sums, ["source_index", "bucket"])
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))
+    rows = rows.withColumn("copy", each).withColumn("start", F.col("base") + F.col("inner") + F.col("copy") * F.col("size"))
+    return rows.drop("bucket", "inner", "base", "copy", "copies")
 
 
 def pieces(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -213,7 +216,7 @@ def taken_words(df: DataFrame, mix: Mix = Mix()) -> DataFrame:
     columns = ("doc_id", "size", "source_size", "target")
     # Slots are made from a range, whose size the planner takes for theirs: never broadcast them.
     found = pieces(rows, mix).join(times.hint("merge"), ["source_index", "block"], "left")
-    some = found.groupBy("source_index", "start", *columns).agg(F.sum((F.col("high") - F.col("low")) * F.coalesce("times", F.lit(0))).alias("taken"))
+    some = found.groupBy("source_index", "start", "row_hash", *columns).agg(F.sum((F.col("high") - F.col("low")) * F.coalesce("times", F.lit(0))).alias("taken"))
     none = rows.where("size = 0").select(*columns, F.lit(0).cast("bigint").alias("taken"))
     return some.select(*columns, "taken").unionByName(none)
 
@@ -223,8 +226,8 @@ def mix_documents(df: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     Columns are those of df; text has the taken stretches of the document in order, joined by a
     line feed where words between them aren't taken, and n_chars, if there, is its length.
-    Documents (with null or empty texts, too) of which nothing is taken go; repeated rows are
-    documents of their own; columns of other names pass through.
+    Documents (with null or empty texts, too) of which nothing is taken go, an empty table gives
+    an empty one; repeated rows are documents of their own; columns of other names pass through.
     """
     spark = df.sparkSession
     sized = sized_documents(df)

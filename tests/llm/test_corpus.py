@@ -39,17 +39,74 @@ def test_permutations_and_shards():
     assert mixing.permuted(np.arange(1000), 1000, "k").tolist() != mixing.permuted(np.arange(1000), 1000, "l").tolist()
     counts, mix = np.array([700, 0, 41, 3000]), mixing.Mix(shard_slots=64)
     shards = -(-int(counts.sum()) // 64)
-    whole = list(mixing.shard_counts(counts, shards, 0, shards, mix))
-    assert sum(own for _, _, own in whole).tolist() == counts.tolist()
-    assert all(own.sum() == 64 for _, _, own in whole[:-1])
-    total = np.zeros(4, int)
-    for _, before, own in whole:
-        assert before.tolist() == total.tolist()
-        total += own
-    part = list(mixing.shard_counts(counts, shards, 5, 9, mix))
-    assert [(i, b.tolist(), o.tolist()) for i, b, o in part] == [(i, b.tolist(), o.tolist()) for i, b, o in whole[5:9]]
-    big = mixing.split(np.array([10**12, 3 * 10**12 + 1]), 10**12, "k")
-    assert big.sum() == 10**12 and abs(big[0] - 25 * 10**10) <= 1
+    shard, source, k = mixing.shard_slots(counts, 0, shards, mix)
+    for s, n in enumerate(counts.tolist()):
+        assert sorted(k[source == s].tolist()) == list(range(n))
+    assert np.bincount(shard).tolist() == [64] * 58 + [29]
+    part = mixing.shard_slots(counts, 5, 9, mix)
+    assert all(p.tolist() == w[5 * 64 : 9 * 64].tolist() for p, w in zip(part, (shard, source, k)))
+
+
+@pytest.mark.parametrize("scale", [10**3, 10**6, 10**10, 10**14])
+def test_shards_are_multinomial_draws_at_every_size(scale):
+    counts, n = np.array([5 * scale, 2 * scale, 0, 3 * scale]), 400
+    at = 7 * scale // 1024 - n if scale > 10**5 else 0
+    n = min(n, -(-int(counts.sum()) // 1024) - 1)
+    drawn = {}
+    for seed in (1, 2):
+        shard, source, _ = mixing.shard_slots(counts, at, at + n, mixing.Mix(seed=seed))
+        drawn[seed] = np.array([np.bincount(source[shard == at + i], minlength=4) for i in range(n)])
+        assert (drawn[seed].sum(1) == 1024).all() and (drawn[seed][:, 2] == 0).all()
+        if n > 100:
+            share = counts / counts.sum()
+            assert np.abs(drawn[seed].mean(0) / 1024 - share).max() < 0.004
+            spread, want = drawn[seed].std(0), np.sqrt(1024 * share * (1 - share))
+            assert (np.abs(spread - want) <= 0.15 * want).all()
+    assert (drawn[1] != drawn[2]).any()
+
+
+def brute_taken(rows, mix=mixing.Mix()):
+    """Words taken of each row, by laying out every word and every slot one by one. rows: (doc_id, words, source) by place."""
+    out = Counter()
+    sizes = [sum(n for _, n, s in rows if s == src) for src in sorted({s for _, _, s in rows})]
+    wanted = mixing.targets(sizes, mix)
+    slots = np.array([mixing.slots_of(n, t, mix) for n, t in zip(sizes, wanted)])
+    times = Counter()
+    for place in range(int(slots.sum())):
+        drawn = int(mixing.permuted(np.array([place]), int(slots.sum()), f"{mix.seed}:slots")[0])
+        s = 0
+        while drawn >= slots[s]:
+            drawn -= int(slots[s])
+            s += 1
+        name, blocks = sorted({x for _, _, x in rows})[s], -(-sizes[s] // mix.block)
+        block = int(mixing.permuted(np.array([drawn % blocks]), blocks, f"{mix.seed}:{name}:{drawn // blocks}")[0])
+        times[name, block] += 1
+    for name in {s for _, _, s in rows}:
+        words = [i for i, n, s in rows if s == name for _ in range(n)]
+        for w, i in enumerate(words):
+            out[i] += times[name, w // mix.block]
+    return out
+
+
+def test_taken_words_are_those_of_slots_laid_out_one_by_one(spark, docs_of):
+    draw = random.Random(8)
+    rows = [(i, " ".join("w" * draw.choice((1, 40, 333))), draw.choice("abc")) for i in range(40)]
+    df, mix = docs_of(rows), mixing.Mix(block=16, shard_slots=8, bucket_rows=5)
+    sized = mixing.sized_documents(df.select("doc_id", "text", "source"))
+    order = sorted(((r.start, r.doc_id, r["size"], r.source) for r in mixing.placed(sized, mixing.plan(sized, mix), mix).collect()))
+    by_source = {}
+    for start, _, n, s in order:  # the rows of a source lie end to end
+        assert start == by_source.get(s, 0)
+        by_source[s] = start + n
+    want = brute_taken([(i, n, s) for _, i, n, s in order], mix)
+    assert {r.doc_id: r.taken for r in mixing.taken_words(df, mix).collect()} == {i: want[i] for i in range(40)}
+
+
+def test_running_sums_by_levels(spark):
+    draw = random.Random(4)
+    rows = [(s, b, draw.randint(0, 9)) for s in range(2) for b in draw.sample(range(200), 90)]
+    got = mixing.running(spark.createDataFrame(rows, "s int, b long, w long"), ["s"], "b", "w", "before", width=4).collect()
+    assert {(r.s, r.b): r.before for r in got} == {(s, b): sum(w for t, c, w in rows if t == s and c < b) for s, b, _ in rows}
 
 
 def mixture_docs(docs_of):
@@ -81,7 +138,7 @@ def test_mixing_meets_its_targets(spark, docs_of):
         assert abs(taken[s] - want[s]) <= 2 * 128
     again = mixing.taken_words(df.repartition(7)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
-    assert mixing.taken_words(docs_of([])).count() == 0
+    assert mixing.taken_words(docs_of([])).count() == 0 and mixing.mix_documents(docs_of([])).count() == 0
 
 
 def test_the_mixture_holds_what_is_taken(spark, docs_of):
