@@ -244,29 +244,54 @@ def test_hot_keys_join_without_a_shuffle_of_theirs(spark, monkeypatch):
     assert common.join_unique(left, right, ["k"], 101).count() == 100
 
 
-@pytest.mark.parametrize("kind", ["spread", "ties", "small"])
+def brute_top(rows, k=20):
+    """Counter of (query_id, rank, vec_id, score) over rows (vec_id, whole numbers), each row for itself."""
+    want = Counter()
+    clamp = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    for n, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            best = sorted((-clamp(sum(a * b for a, b in zip(v, c))), i) for m, (i, c) in enumerate(rows) if m != n and len(c) == len(v))[:k]
+            want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
+    return want
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "small", "repeats", "large", "mixed", "huge"])
 def test_top_k_is_that_of_all_pairs(spark, monkeypatch, kind):
+    from math import floor
+
     monkeypatch.setattr(topk, "QUERY_ROWS", 8)
     monkeypatch.setattr(topk, "CANDIDATE_ROWS", 100)
     monkeypatch.setattr(topk, "STRIP", 16)
     draw = np.random.default_rng(4)
-    n = 15 if kind == "small" else 500
-    rows = [(i, draw.normal(size=40).tolist()) for i in range(n)]
+    n = 15 if kind == "small" else 300
+    scale = {"large": 1e6, "huge": 1e30}.get(kind, 1.0)
+    rows = [(i, (scale * draw.normal(size=40)).tolist()) for i in range(n)]
     if kind == "ties":
         rows = [(i, v if i % 3 else rows[0][1]) for i, v in rows] + [(3, rows[0][1])]
-    rows += [(1000, None), (1020, [1.0, None] * 20), (1040, [float("nan")] * 40), (1060, [float("inf")] * 40), (None, [1.0] * 40), (1080, [2.0, 3.0])]
-    df = spark.createDataFrame([(i, v, 1, 2, 3) for i, v in rows], "vec_id long, embedding array<float>, rank int, query_id long, v int")
-    fine = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows if i is not None and i < 1000]
-    want = []
-    for q, v in dict(fine).items() if kind != "ties" else {i: v for i, v in fine if i % 20 == 0}.items():
-        if q % 20 == 0:
-            best = sorted((-int(v @ c), i) for i, c in fine if i != q)[:20]
-            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    got = sorted(map(tuple, topk.top_k(df).collect()))
-    assert got == sorted(want)
+    if kind == "repeats":
+        rows += [(0, rows[1][1]), rows[20], rows[20], (40, [1.0, 2.0]), (7, [2.0, 1.0])]
+    if kind == "mixed":
+        rows = [(i, [float(x * 10.0 ** draw.integers(0, 13)) for x in v]) for i, v in rows]
+    odd = [(1000, None), (1020, [1.0, None] * 20), (1040, [float("nan")] * 40), (1060, [float("inf")] * 40), (None, [1.0] * 40), (1080, []), (1100, [2.0, 3.0, 4.0])]
+    df = spark.createDataFrame([(i, v, 1, 2, 3, 4.0) for i, v in rows + odd], "vec_id long, embedding array<float>, rank int, query_id long, v int, floor double")
+    fine = [(i, [floor(64 * x) for x in np.array(v, np.float32).astype(float).tolist()]) for i, v in rows]
+    assert Counter(map(tuple, topk.top_k(df).collect())) == brute_top(fine)
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_candidates_are_pruned():
+    """Of vectors whose mass lies in few dimensions, few pairs reach the last block; floors prune more at the first one."""
+    draw = np.random.default_rng(1)
+    rows = np.floor(64 * draw.normal(size=(4000, 64)) * 0.9 ** np.arange(64))
+    asked, numbers = rows[:50], np.arange(4000)
+    told, again = Counter(), Counter()
+    q, _, score = topk.search_block(asked, numbers[:50], rows, numbers, numbers, 20, told=told)
+    assert told["pairs"] == 50 * 4000 and told["block 4"] <= told["block 2"] < 0.2 * told["pairs"]
+    floor = np.array([min(s for i, s in zip(q, score) if i == j) for j in range(50)], float)
+    found = topk.search_block(asked, numbers[:50], rows, numbers, numbers, 20, floor, again)
+    assert found[0] == q and again["block 1"] < 0.6 * told["block 1"]
+
+
 def test_archives_hold_the_pages(spark):
     big = "<p>" + "x" * 300_000
     same, short = "<p>" + "same " * 50, "<p>hi"
