@@ -1,31 +1,37 @@
-"""Byte-level BPE by merge replay over a corpus block.
-
-The words (pattern matches) that a block of texts holds and that are not known yet are laid end
-to end as bytes, linked to their neighbours. An inverted index maps each mergeable token pair to
-the positions where it stands; merges are replayed in rank order, and each one touches only the
-positions of its pair and their neighbours. A text is then encoded by looking its words up.
-
-Blocks are a task's own share of the corpus (bounded bytes), so no word table is shuffled or
-broadcast, memory stays bounded and a lost task is simply run again.
+"""Byte-level BPE by merge replay over the corpus's words.
+
+Texts are split into words (pattern matches) once. A block of texts is written as the numbers of
+its words, together with the words that have the numbers. The words of all blocks meet in one
+table, ordered by word, so that equal words stand together whatever block they are from and each
+is encoded once in a stretch of the table: words are laid end to end as bytes, linked to their
+neighbours; an inverted index maps each mergeable token pair to the positions where it stands;
+merges are replayed in rank order, and each one touches only the positions of its pair and their
+neighbours. The ids go back to the blocks, where each text is put together from its numbers.
+
+Only words and numbers are shuffled, never texts. Blocks and stretches are bounded, so memory is,
+too, and every step is a task that can be run again.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
+from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import documents, per_text
+from .common import arrow_schema, documents, per_text, plain_text, slices, written
 
-#: Encoded words that a task remembers, about: those it met last (results don't depend on it).
-REMEMBERED = 150_000
-#: Bytes of text encoded at once; a longer text makes a slice of its own.
-SLICE_BYTES = 3 << 20
+#: Bytes of text in a block; a longer text makes a block of its own.
+BLOCK_BYTES = 4 << 20
+#: Rows of the word table that are encoded together, about.
+STRETCH = 200_000
 #: Slots of the table of mergeable pairs.
 SLOTS = 1 << 20
 
@@ -81,14 +87,14 @@ class MergeReplay:
             out[other] = np.where(self.lost_keys[at] == pairs[other], self.lost_merged[at], self.NONE)
         return out
 
-    def encode(self, words: list[bytes]) -> list[str]:
-        """The ids of each word (none is empty) in decimal, joined by one blank."""
-        whole = {i: self.ranks[w] for i, w in enumerate(words) if w in self.ranks}
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word (none is empty). A word that is a token is that token, as the library has it."""
+        whole = {i: [self.ranks[w]] for i, w in enumerate(words) if w in self.ranks}
         parts = [w for i, w in enumerate(words) if i not in whole]
         merged = iter(self.merge(parts) if parts else ())
-        return [str(whole[i]) if i in whole else next(merged) for i in range(len(words))]
+        return [whole[i] if i in whole else next(merged) for i in range(len(words))]
 
-    def merge(self, words: list[bytes]) -> list[str]:
+    def merge(self, words: list[bytes]) -> list[list[int]]:
         ids = self.single[np.frombuffer(b"\xff" + b"\xff".join(words) + b"\xff", np.uint8)]
         after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
         after[-1] = len(ids) - 1
@@ -138,10 +144,11 @@ class MergeReplay:
             if len(low):  # an earlier merge became possible: these words are done one by one below
                 again.update(np.searchsorted(borders, low, "right").tolist())
             put(touched)
-        text = ids[ids != self.GONE].tolist()
-        out = " ".join(["\n" if t < 0 else str(t) for t in text])[2:-2].split(" \n ")
+        left = ids[ids != self.GONE]
+        cuts, flat = np.flatnonzero(left == self.BORDER).tolist(), left.tolist()
+        out = [flat[i + 1 : j] for i, j in zip(cuts, cuts[1:])]
         for i in again:
-            out[i - 1] = " ".join(map(str, self.merge_one(words[i - 1])))
+            out[i - 1] = self.merge_one(words[i - 1])
         return out
 
     def merge_one(self, word: bytes) -> list[int]:
@@ -154,33 +161,33 @@ class MergeReplay:
             parts[found[1] : found[1] + 2] = [parts[found[1]] + parts[found[1] + 1]]
 
 
+class Numbers(dict):
+    """Words by number, in the order in which they were first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Codec:
-    """Encodes and decodes texts with a rank file's vocabulary; remembers words between blocks."""
+    """Splits texts, encodes words and decodes ids with a rank file's vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.find = regex.compile(pattern).findall
         self.replay = MergeReplay(ranks)
-        self.known: dict[str, str] = {}  # a word's ids as decimal text
-        self.before: dict[str, str] = {}  # the same for words met before those of known
-        self.bytes_of = {str(i): t for t, i in ranks.items()}
-
-    def encode(self, texts: list[str | None]) -> list[str]:
-        """Per text its ids in decimal, joined by one blank; null is an empty text."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
-        known, before = self.known, self.before
-        split = [self.find(t) if t else [] for t in texts]
-        new = set().union(*split).difference(known)
-        known.update((w, before[w]) for w in new.intersection(before))
-        new = list(new.difference(before))
-        known.update(zip(new, self.replay.encode([w.encode() for w in new])))
-        return [" ".join(map(known.__getitem__, words)) for words in split]
-
-    def decode(self, ids: str) -> bytes:
-        """The bytes of ids in decimal, joined by one blank."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.split(" "))) if ids else b""
+        self.bytes_of = {i: t for t, i in ranks.items()}
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """Per text its ids; null is an empty text. What the steps below do, in one place."""
+        numbers = Numbers()
+        split = [[numbers[w] for w in self.find(t)] if t else [] for t in texts]
+        ids = self.replay.encode([w.encode() for w in numbers])
+        return [[i for n in x for i in ids[n]] for x in split]
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 def _codec(spark: SparkSession, path: str, pattern: str):
@@ -193,11 +200,116 @@ def _codec(spark: SparkSession, path: str, pattern: str):
     return lambda: Codec(read_ranks(sent.value), pattern)
 
 
-def _arrays(ids: list[str]) -> pa.Array:
-    """Decimal ids, joined by blanks, as arrays of numbers."""
-    sizes = [x.count(" ") + 1 if x else 0 for x in ids]
-    values = np.fromstring(" ".join(filter(None, ids)), np.int32, sep=" ")
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFrame:
+    """df in blocks, as a table with two kinds of rows.
+
+    block, key and numbers (array) of each text; block, number and word of each word of a block.
+    A block's name is drawn; being written once, it is the same for all who read it.
+    """
+    schema = StructType.fromDDL("block bigint, word string, number int, numbers array<int>").add("key", df.schema[id_col].dataType)
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        import regex
+
+        find = regex.compile(pattern).findall
+        for part in slices(batches, "text", BLOCK_BYTES):
+            numbers = Numbers()
+            found = [np.fromiter(map(numbers.__getitem__, find(t)), np.int32) if t else np.empty(0, np.int32) for t in part.column("text").to_pylist()]
+            block = int.from_bytes(os.urandom(8), "big") >> 1
+            n, offsets = len(found), np.append(0, np.cumsum([len(x) for x in found]))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+            texts = [pa.array(np.full(n, block)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), lists, part.column("key").cast(arrow.field("key").type)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(texts, arrow)], schema=arrow)
+            words, m = list(numbers), len(numbers)
+            for i in range(0, m, 10_000):
+                some = words[i : i + 10_000]
+                k = len(some)
+                columns = [pa.array(np.full(k, block)), pa.array(some, pa.string()), pa.array(np.arange(i, i + k), pa.int32()), pa.nulls(k, arrow.field("numbers").type), pa.nulls(k, arrow.field("key").type)]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    rows = df.select(F.col(f"`{id_col}`").alias("key"), plain_text(F.col(f"`{text_col}`")).alias("text"))
+    return written(rows.mapInArrow(run, schema), "bpe-numbers")
+
+
+def encoded_words(words: DataFrame, make: Callable[[], Codec]) -> DataFrame:
+    """block, number and ids of words (block, number, word): equal words meet and are encoded together."""
+    schema = StructType.fromDDL("block bigint, number int, ids array<int>")
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        replay = make().replay
+
+        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            words = table["word"].to_pylist()
+            distinct = Numbers()
+            at = [distinct[w] for w in words]
+            ids = pa.array(replay.encode([w.encode() for w in distinct]), arrow.field("ids").type)
+            columns = [table["block"].combine_chunks(), table["number"].combine_chunks(), ids.take(pa.array(at, pa.int32()))]
+            for batch in pa.Table.from_arrays(columns, schema=arrow).to_batches(max_chunksize=10_000):
+                yield batch
+
+        kept, n = [], 0
+        for batch in batches:
+            kept.append(batch)
+            n += batch.num_rows
+            if n >= STRETCH:
+                yield from done(pa.Table.from_batches(kept))
+                kept, n = [], 0
+        if n:
+            yield from done(pa.Table.from_batches(kept))
+
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
+
+
+def encoded(df: DataFrame, path: str, pattern: str, id_col: str, text_col: str, fields: str, start: Callable) -> DataFrame:
+    """id_col and fields of each text.
+
+    start(codec) makes a function of the ids of a block's words (array of lists), which makes one
+    of an array of texts (lists of word numbers) that gives the columns of fields.
+    """
+    make = _codec(df.sparkSession, path, pattern)
+    table = numbered(df, pattern, id_col, text_col)
+    words = encoded_words(table.where("word IS NOT NULL").select("block", "number", "word"), make)
+    key = df.schema[id_col]
+    schema = StructType([type(key)("key", key.dataType, True), *StructType.fromDDL(fields).fields])
+    arrow = arrow_schema(schema)
+    both = words.withColumns({"numbers": F.lit(None).cast("array<int>"), "key": F.lit(None).cast(key.dataType)}).unionByName(
+        table.where("word IS NULL").select("block", "number", "numbers", "key").withColumn("ids", F.lit(None).cast("array<int>"))
+    )
+    is_text = F.col("numbers").isNotNull()
+
+    def run(batches):
+        of_block = start(make())
+        block, ids, work = None, [], None
+        for batch in batches:
+            names, texts = batch.column("block").to_numpy(), batch.column("numbers").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((names[1:] != names[:-1]) | (texts[1:] != texts[:-1])) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if low == high:
+                    continue
+                part = batch.slice(low, high - low)
+                if names[low] != block:
+                    block, ids, work = names[low], [], None
+                if not texts[low]:
+                    ids.append(part.column("ids"))
+                    continue
+                if work is None:  # a block's words come before its texts, by number
+                    work = of_block(pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.int32())))
+                new = work(part.column("numbers"))
+                columns = [part.column("key"), *new]
+                yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    done = both.repartition("block").sortWithinPartitions("block", is_text, "number").mapInArrow(run, schema)
+    return done.withColumnRenamed("key", id_col)
+
+
+def _taken(ids: pa.Array, numbers: pa.Array) -> pa.Array:
+    """The ids of texts given by the numbers of their words."""
+    found = ids.take(numbers.flatten())
+    sizes = np.append(0, np.cumsum(pa.compute.list_value_length(found).to_numpy()))
+    ends = np.append(0, np.cumsum(pa.compute.list_value_length(numbers).to_numpy()))
+    return pa.ListArray.from_arrays(pa.array(sizes[ends], pa.int32()), found.flatten())
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,15 +317,12 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "d
 
     path: a rank file readable by the driver. A null or empty text gets an empty array; repeated
     rows each get a row; an empty table gives an empty one; other columns are left out, so their
-    names can't clash (an id_col named ids is refused by Spark as ambiguous).
+    names can't clash. An id_col named n_tokens or ids is refused with ValueError. A text is one
+    task's, however long, and a block of its own if it is longer than BLOCK_BYTES.
     """
-    make = _codec(df.sparkSession, path, pattern)
-
-    def start():
-        codec = make()
-        return lambda texts: [_arrays(codec.encode(texts))]
-
-    done = per_text(df, start, "ids array<int>", (id_col,), text_col, slice_bytes=SLICE_BYTES)
+    if id_col in ("n_tokens", "ids"):
+        raise ValueError(f"id_col can't be {id_col}, which is a column of the result")
+    done = encoded(df, path, pattern, id_col, text_col, "ids array<int>", lambda codec: lambda ids: lambda numbers: [_taken(ids, numbers)])
     return done.select(id_col, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
@@ -226,10 +335,10 @@ def decode_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", ids_co
 
     def start():
         codec = make()
-        return lambda texts: [[codec.decode(t or "").decode("utf-8", "replace") for t in texts]]
+        return lambda texts: [[codec.decode(t or ()).decode("utf-8", "replace") for t in texts]]
 
-    joined = df.select(id_col, F.concat_ws(" ", F.col(ids_col).cast("array<string>")).alias("_ids"))
-    return per_text(joined, start, "text string", (id_col,), "_ids")
+    bare = df.select(F.col(f"`{id_col}`").alias("_key"), F.col(f"`{ids_col}`").alias("_ids"))
+    return per_text(bare, start, "text string", ("_key",), "_ids").withColumnRenamed("_key", id_col)
 
 
 def token_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -238,23 +347,27 @@ def token_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     Null texts are empty ones: no tokens and the digests of nothing. Repeated rows give repeated
     rows, a null doc_id stays null, and other columns are ignored.
     """
-    make = _codec(df.sparkSession, path, pattern)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
-    def start():
-        codec = make()
-        sha = lambda x: hashlib.sha256(x).hexdigest()
+    def start(codec):
+        def of_block(ids):
+            each = ids.to_pylist()
+            told, back = [" ".join(map(str, x)) for x in each], [codec.decode(x) for x in each]
+            counts = np.array([len(x) for x in each], np.int64)
+
+            def work(numbers):
+                texts = [x.values.to_pylist() for x in numbers]
+                return [
+                    [int(counts[x].sum()) for x in texts],
+                    [sha(" ".join(map(told.__getitem__, x)).encode()) for x in texts],
+                    [sha(b"".join(map(back.__getitem__, x))) for x in texts],
+                ]
 
-        def work(texts):
-            ids = codec.encode(texts)
-            return [
-                [x.count(" ") + 1 if x else 0 for x in ids],
-                [sha(x.encode()) for x in ids],
-                [sha(codec.decode(x)) for x in ids],
-            ]
+            return work
 
-        return work
+        return of_block
 
-    return per_text(df, start, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", slice_bytes=SLICE_BYTES)
+    return encoded(df, path, pattern, "doc_id", "text", "n_tokens bigint, ids_sha256 string, decoded_sha256 string", start)
 
 
 def vocabulary() -> tuple[str, str]:

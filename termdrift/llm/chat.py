@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import plain_text, written
 
 ROLES = ("system", "user", "assistant")
 #: Rows of a conversation that one task holds at most, about.
@@ -207,7 +207,7 @@ def format_chats(df: DataFrame, long: int = LONG) -> DataFrame:
     null or empty text gives an empty turn. A null conv_id makes a row a conversation of its own.
     Repeated rows repeat turns, an empty table gives an empty one, other columns are ignored.
     """
-    rows = df.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+    rows = df.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), plain_text(F.col("role")).alias("role"), plain_text(F.col("text")).alias("text"))
     sizes = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long)
     sizes = written(sizes, "chat-long")
     n_long, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()

@@ -7,9 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 #: Bytes of text handed to a Python function at once; a longer text makes a slice of its own.
 SLICE_BYTES = 8 << 20
@@ -21,17 +21,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where a session names none (local tests), one is made and set.
+    Where a session names none, one is made and set if the session runs on this machine alone;
+    on a cluster a folder of one machine would lose tables, so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        set_dir = spark.sparkContext.getCheckpointDir()
-        if set_dir:
-            return set_dir
-        root = "file://" + tempfile.mkdtemp(prefix="termdrift-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="termdrift-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
@@ -43,7 +42,21 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts lineage and outlives executors."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of written() that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def plain_text(text: Column) -> Column:
+    """text with U+FFFD for bytes that are no UTF-8, which Python couldn't read."""
+    return F.make_valid_utf8(text)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -51,7 +64,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        values = batch.column(column)
+        length = pa.compute.list_value_length if pa.types.is_list(values.type) else pa.compute.binary_length
+        sizes = pa.compute.fill_null(length(values), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + n > most:
@@ -80,7 +95,8 @@ def per_text(
 
     make is called once in each task and returns a function from a list of texts (None for
     null) to the list of new columns, each a list or array as long as the texts. size_of: the column whose
-    bytes count for a slice (slice_bytes, about), if column itself is no text.
+    bytes count for a slice (slice_bytes, about), if column itself is no text. Bytes of column that
+    are no UTF-8 are U+FFFD.
     """
     schema = StructType([df.schema[c] for c in keep]).fields
     out = StructType(schema + StructType.fromDDL(fields).fields)
@@ -95,7 +111,8 @@ def per_text(
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     extra = [c for c in (column, size_of) if c and c not in keep]
-    return df.select(*keep, *extra).mapInArrow(run, out)
+    plain = {column: plain_text(F.col(f"`{column}`"))} if isinstance(df.schema[column].dataType, StringType) and column not in keep else {}
+    return df.select(*keep, *extra).withColumns(plain).mapInArrow(run, out)
 
 
 def with_texts(df: DataFrame, make: Callable[[], Callable[[list], list]], text_col: str, chars_col: str, *, drop: bool = False) -> DataFrame:
@@ -105,7 +122,7 @@ def with_texts(df: DataFrame, make: Callable[[], Callable[[list], list]], text_c
     new ones. drop: rows for which that is None go. All columns, whatever their names, stay.
     """
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
-    rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    rows = df.select(*((plain_text(F.col(f"`{c}`")) if c == text_col else F.col(f"`{c}`")).alias(n) for c, n in names.items()))
 
     def start():
         work = make()
@@ -142,4 +159,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "documents", "join_unique", "per_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "documents", "forget", "join_unique", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_unique, written
+from .common import forget, join_unique, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -13,15 +13,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
 
 
-def _turned(edges: DataFrame, total: int) -> DataFrame:
-    return join_unique(edges, written(_least(edges), "star-least"), ["u"], total)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of its component, for each node of edges (u, v; bigint, not null).
 
     Large-star and small-star rounds until nothing changes; the number of rounds grows with the
-    logarithm of the graph's size. Nothing but counts and sums reaches the driver. Repeated edges
+    logarithm of the graph's size, and a round's tables go once the next one's are written. Nothing but counts and sums reaches the driver. Repeated edges
     and loops don't matter; no edges give an empty table.
     """
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
@@ -29,12 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: neighbours above u are tied to u's least neighbour.
         both = written(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "star-both")
-        large = _turned(both, both.count()).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = written(_least(both), "star-least")
+        large = join_unique(both, least, ["u"], both.count()).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large.where("u <> v"), "star-large")
         # Small star: u and its neighbours below are tied to the least of them.
-        small = _turned(large, large.count())
+        fewer = written(_least(large), "star-least")
+        small = join_unique(large, fewer, ["u"], large.count())
         ties = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        edges = written(ties.select("e.u", "e.v").where("u <> v").distinct(), "star")
+        done, edges = edges, written(ties.select("e.u", "e.v").where("u <> v").distinct(), "star")
+        forget(done, both, least, large, fewer)
         row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if row == before:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, documents, per_text, slices, with_texts
+from .common import arrow_schema, documents, per_text, plain_text, slices, with_texts
 
 # Fixed values.
 KINDS = ("assign", "access", "hex", "random")
@@ -225,7 +225,7 @@ def learn(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", samp
     """
     h = F.xxhash64(F.col(f"`{id_col}`"))
     found = df.select(h.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    rows = df.where(h <= F.lit(found if found is not None else 0)).select(F.col(f"`{text_col}`").alias("text"))
+    rows = df.where(h <= F.lit(found if found is not None else 0)).select(plain_text(F.col(f"`{text_col}`")).alias("text"))
 
     scanner = SecretScanner()
 

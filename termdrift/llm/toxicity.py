@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, documents, per_text, slices, written
+from .common import arrow_schema, documents, per_text, plain_text, slices, written
 
 #: Labelled documents learned from at most: those with the smallest hash of doc_id.
 SAMPLE = 8000
@@ -211,7 +211,7 @@ def labelled_sample(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = df.select("doc_id", "text").where(F.col("text").isNotNull() & ~held_out())
+    rows = df.select("doc_id", plain_text(F.col("text")).alias("text")).where(F.col("text").isNotNull() & ~held_out())
     return rows.join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, join_unique, shared_path, slices, written
+from .common import arrow_schema, join_unique, plain_text, shared_path, slices, written
 
 #: Payloads below this size are always stored.
 MIN_REVISIT = 100
@@ -36,12 +36,12 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def typed_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, digest, bytes, record_type and refers_to of each row.
 
-    A null html is an empty payload. Of rows with equal payloads of MIN_REVISIT bytes or more,
+    A null html is an empty payload; bytes that are no UTF-8 are U+FFFD. Of rows with equal payloads of MIN_REVISIT bytes or more,
     those with the smallest page_id that isn't null are responses (so is a row that repeats it);
     if all are null, all are. The others, a null page_id among them, revisit it.
     """
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("bytes"))
+    payload = plain_text(F.coalesce(F.col("html"), F.lit("")))
+    rows = pages.select("page_id", plain_text(F.col("url")).alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("bytes"))
     large = rows.where(F.col("bytes") >= MIN_REVISIT)
     groups = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL")
     both = join_unique(rows, written(groups, "warc-groups"), ["digest"], pages.count(), "left")

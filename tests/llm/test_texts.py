@@ -201,6 +201,13 @@ def test_secrets_of_odd_rows(spark, docs_of):
     assert secrets.redact_documents(docs_of([])).count() == 0
 
 
+def test_bytes_that_are_no_text(spark):
+    df = spark.createDataFrame([(1, bytearray(b"a \xff b"))], "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) as text", "'a' as source")
+    assert [r.ids for r in byte_bpe.encode_documents(df, *byte_bpe.vocabulary()).collect()] == [r.ids for r in byte_bpe.encode_documents(spark.createDataFrame([(1, "a \ufffd b")], "doc_id long, text string"), *byte_bpe.vocabulary()).collect()]
+    assert line_quality.line_report(df).count() == secrets.secret_report(df).count() == 1
+    assert secrets.redact_documents(df).first().text == "a \ufffd b"
+
+
 VALUES = [
     "john.smith42@mail.example.com", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "4111111111111111", "4111 1111 1111 1111", "+1 (988) 555-2485",
     "988-555-2485", "+44 20 7946 0958", "123-45-6789", "2024-02-29", "28/02/2021", "01/02/2021", "05.11.1999", "42.144.35.254",
@@ -260,18 +267,30 @@ def plain():
 def test_tokens_are_those_of_the_library(plain, texts):
     library, codec = plain
     got = codec.encode(texts)
-    assert got == [" ".join(map(str, library.encode_ordinary(t))) for t in texts]
+    assert got == [library.encode_ordinary(t) for t in texts]
     assert [codec.decode(x) for x in got] == [t.encode() for t in texts]
 
 
 def test_long_runs_and_words_done_one_by_one(plain):
     library, codec = plain
     for text in ("a" * 30_001, "ab" * 5000, "中" * 3000, " " * 5000, "0" * 777, "<|endoftext|>"):
-        assert codec.encode([text]) == [" ".join(map(str, library.encode_ordinary(text)))]
+        assert codec.encode([text]) == [library.encode_ordinary(text)]
     for word in (b" international", b"aaaaaaa", "éèê".encode(), b"zqxjk"):
         assert codec.replay.merge_one(word) == library.encode_ordinary(word.decode())
 
 
+@pytest.mark.parametrize("block, stretch", [(1 << 22, 200_000), (300, 7)])
+def test_blocks_and_stretches_do_not_matter(spark, docs_of, plain, monkeypatch, block, stretch):
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", block)
+    monkeypatch.setattr(byte_bpe, "STRETCH", stretch)
+    library, _ = plain
+    draw = random.Random(3)
+    words = ["the", "valley", "é中", "  ", "\n\n", "'s", "123", "international", "zqxj", "\U0001f600"]
+    texts = {i: " ".join(draw.choices(words, k=draw.randint(0, 60))) for i in range(80)}
+    got = byte_bpe.encode_documents(docs_of([(i, t, "a") for i, t in texts.items()]).repartition(3), *byte_bpe.vocabulary()).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: library.encode_ordinary(t) for i, t in texts.items()} and len(got) == 80
+
+
 def test_tokens_of_odd_rows(spark, docs_of, plain):
     library, _ = plain
     df = docs_of(ODD)
@@ -287,3 +306,6 @@ def test_tokens_of_odd_rows(spark, docs_of, plain):
     decoded = byte_bpe.decode_documents(encoded, byte_bpe.vocabulary()[0])
     assert {r.doc_id: r.text for r in decoded.collect()} == {i: t or "" for i, t in texts.items()}
     assert byte_bpe.encode_documents(docs_of([]), *byte_bpe.vocabulary()).count() == 0
+    assert byte_bpe.token_digests(docs_of([]), *byte_bpe.vocabulary()).count() == 0
+    with pytest.raises(ValueError):
+        byte_bpe.encode_documents(df.withColumnRenamed("doc_id", "ids"), *byte_bpe.vocabulary(), id_col="ids")
