@@ -1,15 +1,16 @@
 """Byte-level BPE by merge replay over the corpus's words.
 
-Texts are split into words (pattern matches) once. A block of texts is written as the numbers of
-its words, together with the words that have the numbers. The words of all blocks meet in one
-table, ordered by word, so that equal words stand together whatever block they are from and each
-is encoded once in a stretch of the table: words are laid end to end as bytes, linked to their
-neighbours; an inverted index maps each mergeable token pair to the positions where it stands;
-merges are replayed in rank order, and each one touches only the positions of its pair and their
-neighbours. The ids go back to the blocks, where each text is put together from its numbers.
-
-Only words and numbers are shuffled, never texts. Blocks and stretches are bounded, so memory is,
-too, and every step is a task that can be run again.
+1. Texts are split into words (pattern matches) once. A block of texts is written as the numbers
+   of its words, together with the words that have the numbers, packed by buckets of their hash.
+2. The words of all blocks meet by bucket. Each different one is encoded once: words are laid end
+   to end as bytes, linked to their neighbours; an inverted index maps each mergeable token pair to
+   the positions where it stands; merges are replayed in rank order, and each one touches only the
+   positions of its pair and their neighbours.
+3. The ids go back to the blocks, each of which gets a file of them, and
+4. each text is put together from its numbers and its block's file.
+
+Only packed words and ids are shuffled, neither texts nor numbers. Blocks and stretches of words
+that are encoded together are bounded, so memory is, too, and every step can be run again.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import uuid
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, documents, per_text, plain_text, slices, written
+from .common import arrow_schema, documents, per_text, plain_text, shared_path, slices
 
 #: Bytes of text in a block; a longer text makes a block of its own.
-BLOCK_BYTES = 4 << 20
-#: Rows of the word table that are encoded together, about.
-STRETCH = 200_000
+BLOCK_BYTES = 32 << 20
+#: Buckets of a block's words, and different words that are encoded together, about.
+BUCKETS, STRETCH = 256, 200_000
 #: Slots of the table of mergeable pairs.
 SLOTS = 1 << 20
 
@@ -200,13 +203,45 @@ def _codec(spark: SparkSession, path: str, pattern: str):
     return lambda: Codec(read_ranks(sent.value), pattern)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^32 as bytes, the lowest bytes of all first: high ones are mostly alike and pack well."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def packed(*parts: bytes) -> bytes:
+    """Byte strings as one, compressed."""
+    raw = b"".join(len(x).to_bytes(8, "big") + x for x in parts)
+    return len(raw).to_bytes(8, "big") + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
+
+
+def unpacked(data: bytes) -> list[bytes]:
+    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "big"), codec="zstd", asbytes=True)
+    out, at = [], 0
+    while at < len(raw):
+        end = at + 8 + int.from_bytes(raw[at : at + 8], "big")
+        out.append(raw[at + 8 : end])
+        at = end
+    return out
+
+
+def pieces(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    """data cut into pieces of the given sizes."""
+    ends = np.cumsum(sizes).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+
 def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFrame:
     """df in blocks, as a table with two kinds of rows.
 
-    block, key and numbers (array) of each text; block, number and word of each word of a block.
-    A block's name is drawn; being written once, it is the same for all who read it.
+    block, key and data (its words' numbers) of each text; block, bucket and data (numbers and
+    words) of each bucket of a block's words. A block's name is drawn; being written once, it is
+    the same for all who read it.
     """
-    schema = StructType.fromDDL("block bigint, word string, number int, numbers array<int>").add("key", df.schema[id_col].dataType)
+    schema = StructType.fromDDL("block bigint, bucket int, data binary").add("key", df.schema[id_col].dataType)
     arrow = arrow_schema(schema)
 
     def run(batches):
@@ -215,100 +250,157 @@ def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFra
         find = regex.compile(pattern).findall
         for part in slices(batches, "text", BLOCK_BYTES):
             numbers = Numbers()
-            found = [np.fromiter(map(numbers.__getitem__, find(t)), np.int32) if t else np.empty(0, np.int32) for t in part.column("text").to_pylist()]
+            found = [planes(np.fromiter(map(numbers.__getitem__, find(t)), np.uint32)) if t else b"" for t in part.column("text").to_pylist()]
             block = int.from_bytes(os.urandom(8), "big") >> 1
-            n, offsets = len(found), np.append(0, np.cumsum([len(x) for x in found]))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
-            texts = [pa.array(np.full(n, block)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), lists, part.column("key").cast(arrow.field("key").type)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(texts, arrow)], schema=arrow)
-            words, m = list(numbers), len(numbers)
-            for i in range(0, m, 10_000):
-                some = words[i : i + 10_000]
-                k = len(some)
-                columns = [pa.array(np.full(k, block)), pa.array(some, pa.string()), pa.array(np.arange(i, i + k), pa.int32()), pa.nulls(k, arrow.field("numbers").type), pa.nulls(k, arrow.field("key").type)]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
-
+            n = part.num_rows
+            columns = [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.array(found, pa.binary()), part.column("key").cast(arrow.field("key").type)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            words = [w.encode() for w in numbers]
+            bucket = np.fromiter(map(crc32, words), np.uint32, len(words)) % BUCKETS
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            groups = np.split(order, cuts) if len(words) else []
+            data = []
+            for g in groups:
+                own = [words[i] for i in g.tolist()]
+                data.append(packed(planes(np.diff(g, prepend=0)), planes(np.array([len(w) for w in own])), b"".join(own)))
+            m = len(groups)
+            columns = [pa.array(np.full(m, block)), pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.array(data, pa.binary()), pa.nulls(m, arrow.field("key").type)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "bpe-numbers")
     rows = df.select(F.col(f"`{id_col}`").alias("key"), plain_text(F.col(f"`{text_col}`")).alias("text"))
-    return written(rows.mapInArrow(run, schema), "bpe-numbers")
+    rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def encoded_words(words: DataFrame, make: Callable[[], Codec]) -> DataFrame:
-    """block, number and ids of words (block, number, word): equal words meet and are encoded together."""
-    schema = StructType.fromDDL("block bigint, number int, ids array<int>")
+    """block and data (numbers and ids) of words (block, bucket, data): equal words meet and are encoded together."""
+    schema = StructType.fromDDL("block bigint, data binary")
     arrow = arrow_schema(schema)
 
     def run(batches):
         replay = make().replay
 
-        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            words = table["word"].to_pylist()
-            distinct = Numbers()
-            at = [distinct[w] for w in words]
-            ids = pa.array(replay.encode([w.encode() for w in distinct]), arrow.field("ids").type)
-            columns = [table["block"].combine_chunks(), table["number"].combine_chunks(), ids.take(pa.array(at, pa.int32()))]
-            for batch in pa.Table.from_arrays(columns, schema=arrow).to_batches(max_chunksize=10_000):
-                yield batch
+        def done(rows: list, known: dict[bytes, list[int]]) -> Iterator[pa.RecordBatch]:
+            new = [w for w, ids in known.items() if ids is None]
+            known.update(zip(new, replay.encode(new)))
+            for i in range(0, len(rows), 256):
+                out = []
+                for block, steps, own in rows[i : i + 256]:
+                    ids = [known[w] for w in own]
+                    flat = np.fromiter((t for x in ids for t in x), np.uint32)
+                    out.append((block, packed(steps, planes(np.array([len(x) for x in ids])), planes(flat))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+        rows, known, last = [], {}, None
+        for batch in batches:
+            for block, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "data"))):
+                if len(known) >= STRETCH and (bucket != last or len(known) >= 4 * STRETCH):
+                    yield from done(rows, known)
+                    rows, known = [], {}
+                last = bucket
+                steps, sizes, text = unpacked(data)
+                own = pieces(text, unplaned(sizes))
+                for w in own:
+                    known.setdefault(w)
+                rows.append((block, steps, own))
+        yield from done(rows, known)
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
+def write_blocks(words: DataFrame, path: str) -> None:
+    """A file for each block below path, named by it, with the ids of its words by number."""
 
-        kept, n = [], 0
+    def run(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        store.create_dir(root, recursive=True)
+
+        def done(block: int, rows: list[bytes]) -> None:
+            number, size, ids = ([], [], [])
+            for data in rows:
+                steps, sizes, flat = map(unplaned, unpacked(data))
+                number.append(np.cumsum(steps, dtype=np.int64))
+                size.append(sizes.astype(np.int64))
+                ids.append(flat)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.concatenate(size))), pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
+            lists = lists.take(pa.array(np.argsort(np.concatenate(number))))
+            table = pa.table({"ids": lists})
+            name = f"{root}/{block}"
+            part = f"{name}.{uuid.uuid4().hex}"  # an attempt that is run twice writes the same file
+            with store.open_output_stream(part, compression=None) as sink, pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table)
+            try:
+                store.move(part, name)
+            except OSError:
+                if store.get_file_info(name).type != fs.FileType.File:
+                    raise
+                store.delete_file(part)
+
+        block, rows, n = None, [], 0
         for batch in batches:
-            kept.append(batch)
-            n += batch.num_rows
-            if n >= STRETCH:
-                yield from done(pa.Table.from_batches(kept))
-                kept, n = [], 0
-        if n:
-            yield from done(pa.Table.from_batches(kept))
+            for name, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
+                if name != block and rows:
+                    done(block, rows)
+                    rows, n = [], n + 1
+                block = name
+                rows.append(data)
+        if rows:
+            done(block, rows)
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
+    words.repartition("block").sortWithinPartitions("block").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
 
 
 def encoded(df: DataFrame, path: str, pattern: str, id_col: str, text_col: str, fields: str, start: Callable) -> DataFrame:
     """id_col and fields of each text.
 
     start(codec) makes a function of the ids of a block's words (array of lists), which makes one
-    of an array of texts (lists of word numbers) that gives the columns of fields.
+    of texts (arrays of word numbers) that gives the columns of fields.
     """
     make = _codec(df.sparkSession, path, pattern)
     table = numbered(df, pattern, id_col, text_col)
-    words = encoded_words(table.where("word IS NOT NULL").select("block", "number", "word"), make)
+    folder = shared_path(df.sparkSession, "bpe-blocks")
+    write_blocks(encoded_words(table.where("bucket IS NOT NULL").select("block", "bucket", "data"), make), folder)
     key = df.schema[id_col]
     schema = StructType([type(key)("key", key.dataType, True), *StructType.fromDDL(fields).fields])
     arrow = arrow_schema(schema)
-    both = words.withColumns({"numbers": F.lit(None).cast("array<int>"), "key": F.lit(None).cast(key.dataType)}).unionByName(
-        table.where("word IS NULL").select("block", "number", "numbers", "key").withColumn("ids", F.lit(None).cast("array<int>"))
-    )
-    is_text = F.col("numbers").isNotNull()
 
     def run(batches):
-        of_block = start(make())
-        block, ids, work = None, [], None
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        of_block, block, work = start(make()), None, None
+        none = pa.array([], pa.list_(pa.int32()))
         for batch in batches:
-            names, texts = batch.column("block").to_numpy(), batch.column("numbers").is_valid().to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((names[1:] != names[:-1]) | (texts[1:] != texts[:-1])) + 1
-            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            names = batch.column("block").to_numpy()
+            cuts = (np.flatnonzero(names[1:] != names[:-1]) + 1).tolist()
+            for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
                 if low == high:
                     continue
                 part = batch.slice(low, high - low)
+                texts = [unplaned(x) for x in part.column("data").to_pylist()]
                 if names[low] != block:
-                    block, ids, work = names[low], [], None
-                if not texts[low]:
-                    ids.append(part.column("ids"))
-                    continue
-                if work is None:  # a block's words come before its texts, by number
-                    work = of_block(pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.int32())))
-                new = work(part.column("numbers"))
+                    block, work = names[low], None
+                if work is None and any(map(len, texts)):  # a block without words has no file
+                    with store.open_input_stream(f"{root}/{block}") as source:
+                        work = of_block(pa.ipc.open_stream(source).read_all()["ids"].combine_chunks())
+                new = (work or of_block(none))(texts)
                 columns = [part.column("key"), *new]
                 yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    done = both.repartition("block").sortWithinPartitions("block", is_text, "number").mapInArrow(run, schema)
-    return done.withColumnRenamed("key", id_col)
+    return table.where("bucket IS NULL").select("block", "key", "data").mapInArrow(run, schema).withColumnRenamed("key", id_col)
 
 
-def _taken(ids: pa.Array, numbers: pa.Array) -> pa.Array:
+def _taken(ids: pa.Array, texts: list[np.ndarray]) -> pa.Array:
     """The ids of texts given by the numbers of their words."""
-    found = ids.take(numbers.flatten())
+    found = ids.take(pa.array(np.concatenate(texts)))
     sizes = np.append(0, np.cumsum(pa.compute.list_value_length(found).to_numpy()))
-    ends = np.append(0, np.cumsum(pa.compute.list_value_length(numbers).to_numpy()))
+    ends = np.append(0, np.cumsum([len(x) for x in texts]))
     return pa.ListArray.from_arrays(pa.array(sizes[ends], pa.int32()), found.flatten())
 
 
@@ -322,7 +414,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, id_col: str = "d
     """
     if id_col in ("n_tokens", "ids"):
         raise ValueError(f"id_col can't be {id_col}, which is a column of the result")
-    done = encoded(df, path, pattern, id_col, text_col, "ids array<int>", lambda codec: lambda ids: lambda numbers: [_taken(ids, numbers)])
+    done = encoded(df, path, pattern, id_col, text_col, "ids array<int>", lambda codec: lambda ids: lambda texts: [_taken(ids, texts)])
     return done.select(id_col, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
@@ -350,17 +442,22 @@ def token_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def start(codec):
-        def of_block(ids):
-            each = ids.to_pylist()
-            told, back = [" ".join(map(str, x)) for x in each], [codec.decode(x) for x in each]
-            counts = np.array([len(x) for x in each], np.int64)
+        names = {i: str(i) for i in codec.bytes_of}
 
-            def work(numbers):
-                texts = [x.values.to_pylist() for x in numbers]
+        def of_block(ids):
+            told, back = [], []
+            for i in range(0, len(ids), 10_000):
+                each = ids.slice(i, 10_000).to_pylist()
+                told += [" ".join(map(names.__getitem__, x)) for x in each]
+                back += [codec.decode(x) for x in each]
+            counts = pa.compute.list_value_length(ids).to_numpy().astype(np.int64)
+
+            def work(texts):
+                lists = [x.tolist() for x in texts]
                 return [
                     [int(counts[x].sum()) for x in texts],
-                    [sha(" ".join(map(told.__getitem__, x)).encode()) for x in texts],
-                    [sha(b"".join(map(back.__getitem__, x))) for x in texts],
+                    [sha(" ".join(map(told.__getitem__, x)).encode()) for x in lists],
+                    [sha(b"".join(map(back.__getitem__, x))) for x in lists],
                 ]
 
             return work

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -291,6 +292,13 @@ def test_blocks_and_stretches_do_not_matter(spark, docs_of, plain, monkeypatch,
     assert {r.doc_id: r.ids for r in got} == {i: library.encode_ordinary(t) for i, t in texts.items()} and len(got) == 80
 
 
+def test_packing():
+    for x in ([], [0], [1, 255, 256, 70_000, 2**32 - 1]):
+        assert byte_bpe.unplaned(byte_bpe.planes(np.array(x, np.int64))).tolist() == x
+    for parts in ((b"",), (b"a", b"", b"\0" * 1000), (b"\xff" * 9, b"x")):
+        assert byte_bpe.unpacked(byte_bpe.packed(*parts)) == list(parts)
+
+
 def test_tokens_of_odd_rows(spark, docs_of, plain):
     library, _ = plain
     df = docs_of(ODD)
