@@ -7,6 +7,7 @@ from termdrift.operators.identity import IdentityMap, SequenceDataset, SequenceI
 from termdrift.operators.ontology import Ontology
 from termdrift.operators.snapshot import AnnotationSnapshot
 from termdrift.plans.issues import Report, ValidationError, ValidationIssue
+from termdrift.records import AnnotationChange, OntologyTerm, RecordParser, SequenceAlias, SequenceMatch, TermProjection
 from termdrift.sources.fasta import FastaReader
 from termdrift.sources.files import Source
 from termdrift.sources.gaf import GafReader
@@ -15,8 +16,8 @@ from termdrift.vocabulary import ChangeKind, EvidenceCategory, ProjectionKind, S
 GeneOntology, ValidationReport = Ontology, Report
 
 __all__ = [
-    "AnnotationSnapshot", "ChangeKind", "ComparisonResult", "EvidenceCategory", "EvidencePolicy", "FastaReader", "GafReader", "GeneOntology",
-    "IdentityMap", "Ontology", "ProjectionKind", "Report", "SequenceDataset", "SequenceIndex", "Severity", "Source", "ValidationError",
-    "ValidationIssue", "ValidationReport", "compare_annotations",
+    "AnnotationChange", "AnnotationSnapshot", "ChangeKind", "ComparisonResult", "EvidenceCategory", "EvidencePolicy", "FastaReader", "GafReader", "GeneOntology",
+    "IdentityMap", "Ontology", "OntologyTerm", "ProjectionKind", "RecordParser", "Report", "SequenceAlias", "SequenceDataset", "SequenceIndex",
+    "SequenceMatch", "Severity", "Source", "TermProjection", "ValidationError", "ValidationIssue", "ValidationReport", "compare_annotations",
     "normalize_sequence", "sequence_digest", "sequence_id",
 ]

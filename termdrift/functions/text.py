@@ -62,8 +62,3 @@ def literal_id(text: Column) -> Column:
 def relation_name(relation_id: Column) -> Column:
     """The name of a relation, its identifier if it has none."""
     return F.coalesce(*(F.when(relation_id == k, F.lit(v)) for k, v in RELATION_NAMES.items()), relation_id)
-
-
-def as_set(values: Column) -> Column:
-    """Members in order without repeats, so that equal sets are equal arrays."""
-    return F.array_sort(F.array_distinct(values))

@@ -20,11 +20,11 @@ KEY = ["sequence_id", "term_id", "relation", "aspect"]
 
 
 def relation() -> Column:
-    """The relation of an annotation, by default that of its aspect; an unknown aspect without one is an error."""
+    """The relation of an annotation, by default that of its aspect; an unknown aspect without one is an error (none of a negated row)."""
     out = F.when(F.col("relation") != "", F.col("relation"))
     for aspect, name in DEFAULT_RELATIONS.items():
         out = out.when(F.col("aspect") == aspect, name)
-    return out.otherwise(F.raise_error(F.concat(F.lit("no relation is known for aspect "), F.col("aspect"))).cast("string"))
+    return out.when(F.col("negated"), F.lit("")).otherwise(F.raise_error(F.concat(F.lit("no relation is known for aspect "), F.col("aspect"))).cast("string"))
 
 
 def subject_map(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -39,7 +39,9 @@ def subject_map(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _of_subjects(snapshot: AnnotationSnapshot, subjects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Annotations with their sequence_id, by subject_id alone, and warnings for negated ones, which are left out."""
-    rows = snapshot.annotations.join(subjects, "subject_id")
+    columns = ("sequence_id", "term_id", relation().alias("relation"), "aspect", "evidence", "negated", "source", "line")
+    # Written once, for the warnings, the projection and the assertions.
+    rows = cut(snapshot.annotations.join(subjects, "subject_id").select(*columns))
     place = {"source": F.col("source"), "line": F.col("line")}
     negated = issue_rows(rows.where("negated"), issue("NEGATED_ANNOTATION_IGNORED", "a negated annotation isn't compared", WARNING, **place))
     return rows.where(~F.col("negated")), negated
@@ -49,7 +51,7 @@ def old_assertions(snapshot: AnnotationSnapshot, subjects: DataFrame) -> tuple[D
     """KEY and evidence (a sorted set) of the older snapshot; unresolvable terms are left out."""
     rows, issues = _of_subjects(snapshot, subjects)
     terms = snapshot.ontology.resolve.withColumnRenamed("any_id", "term_id")
-    found = rows.select("sequence_id", "term_id", relation().alias("relation"), "aspect", "evidence").distinct().join(terms, "term_id")
+    found = rows.select("sequence_id", "term_id", "relation", "aspect", "evidence").distinct().join(terms, "term_id")
     grouped = found.groupBy("sequence_id", F.col("canonical_id").alias("term_id"), "relation", "aspect")
     return grouped.agg(F.array_sort(F.collect_set("evidence")).alias("evidence")), issues
 
@@ -68,7 +70,7 @@ def new_assertions(old: AnnotationSnapshot, new: AnnotationSnapshot, subjects: D
         rows.join(lost, "term_id", "left_semi"),
         issue("UNMAPPABLE_NEW_TERM", F.concat(F.lit(f"release {old.release} has nothing for "), "term_id"), WARNING, **place),
     )
-    plain = rows.select("sequence_id", "term_id", relation().alias("relation"), "aspect", "evidence").distinct()
+    plain = rows.select("sequence_id", "term_id", "relation", "aspect", "evidence").distinct()
     found = plain.join(projection.where("target_term IS NOT NULL").select("term_id", "source_term", "target_term"), "term_id")
     moved = F.when(F.col("target_term") != F.col("source_term"), F.col("source_term"))
     grouped = found.withColumn("moved", moved).groupBy("sequence_id", F.col("target_term").alias("term_id"), "relation", "aspect")
@@ -98,12 +100,20 @@ def classified(before: DataFrame, after: DataFrame, targets: DataFrame, policy:
 
 @dataclass(frozen=True)
 class ComparisonResult:
-    """changes, the report (with both snapshots' issues) and the policy."""
+    """changes (AnnotationChange), the report (with both snapshots' issues) and the policy."""
 
     changes: DataFrame
     report: Report
     policy: EvidencePolicy
 
+    @property
+    def validation(self) -> Report:
+        return self.report
+
+    @property
+    def evidence_policy(self) -> EvidencePolicy:
+        return self.policy
+
     @property
     def ordered(self) -> DataFrame:
         return self.changes.orderBy(*KEY)
@@ -120,7 +130,7 @@ class ComparisonResult:
         return self.changes.count()
 
 
-def compare_annotations(old: AnnotationSnapshot, new: AnnotationSnapshot, *, identities: IdentityMap, policy: EvidencePolicy | None = None, strict: bool = True) -> ComparisonResult:
+def compare_annotations(old: AnnotationSnapshot, new: AnnotationSnapshot, *, identities: IdentityMap, evidence_policy: EvidencePolicy | None = None, strict: bool = True) -> ComparisonResult:
     """Changes by sequence, term, relation and aspect, expressed in old's ontology.
 
     A key that only the newer snapshot has is term_acquired (it qualifies if the policy accepts
@@ -128,13 +138,13 @@ def compare_annotations(old: AnnotationSnapshot, new: AnnotationSnapshot, *, ide
     the policy are evidence_upgraded (and qualify), other differences evidence_changed. Equal
     evidence is no change. strict: errors of both snapshots and of the comparison raise.
     """
-    policy = policy or EvidencePolicy.experimental()
+    policy = evidence_policy or EvidencePolicy.experimental()
     matches = cut(identities.matches)
     subjects, ambiguous = subject_map(matches)
     subjects = cut(subjects)
     before, one = old_assertions(old, subjects)
     after, two = new_assertions(old, new, subjects)
-    report = old.report.extend(new.report).extend(Report.of(ambiguous, one, two))
+    report = old.report.copy().extend(new.report).extend(Report.of(ambiguous, one, two))
     out = ComparisonResult(classified(before, after, targets_by_sequence(matches), policy), report, policy)
     if strict:
         report.raise_for_errors()

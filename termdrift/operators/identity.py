@@ -26,6 +26,10 @@ class SequenceDataset:
     def read(cls, spark: SparkSession, source: Source | str, *, strict: bool = True) -> SequenceDataset:
         return cls(*FastaReader().read(spark, source, strict=strict))
 
+    @property
+    def validation(self) -> Report:
+        return self.report
+
     def count(self) -> int:
         return self.records.count()
 
@@ -74,11 +78,10 @@ class SequenceIndex:
     @classmethod
     def from_fastas(cls, spark: SparkSession, sources: Mapping[str, Source | str], *, strict: bool = True) -> SequenceIndex:
         """An index over several releases, each under its name."""
-        out = None
+        out = cls.empty(spark)
         for name, source in sources.items():
-            one = cls.from_fasta(spark, source, source_name=name, strict=strict)
-            out = one if out is None else out.union(one)
-        return out if out is not None else cls(spark.createDataFrame([], "sequence string, identifier string, alias_source string"), Report.empty(spark))
+            out.add_fasta(source, source_name=name, strict=strict)
+        return out
 
     @classmethod
     def of(cls, records: DataFrame, source_name: str, report: Report | None = None) -> SequenceIndex:
@@ -86,8 +89,27 @@ class SequenceIndex:
         entries = records.select("sequence", "identifier", F.lit(source_name).alias("alias_source"))
         return cls(entries, report or Report.empty(records.sparkSession))
 
+    @classmethod
+    def empty(cls, spark: SparkSession) -> SequenceIndex:
+        return cls(spark.createDataFrame([], "sequence string, identifier string, alias_source string"), Report.empty(spark))
+
+    @property
+    def validation(self) -> Report:
+        return self.report
+
     def union(self, other: SequenceIndex) -> SequenceIndex:
-        return SequenceIndex(self.entries.unionByName(other.entries), self.report.extend(other.report))
+        return SequenceIndex(self.entries.unionByName(other.entries), self.report.copy().extend(other.report))
+
+    def add(self, identifier: str, sequence: str, *, source: str) -> None:
+        """One more entry."""
+        row = self.entries.sparkSession.createDataFrame([(sequence, identifier, source)], "sequence string, identifier string, alias_source string")
+        self.entries = self.entries.unionByName(row)
+
+    def add_fasta(self, source: Source | str, *, source_name: str | None = None, strict: bool = True) -> None:
+        """The entries of one more file, under its own name or the given one."""
+        one = self.from_fasta(self.entries.sparkSession, source, source_name=source_name, strict=strict)
+        self.entries = self.entries.unionByName(one.entries)
+        self.report.extend(one.report)
 
     def count(self) -> int:
         """The number of different sequences."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from termdrift.plans.issues import ERROR, WARNING, Report, issue, issue_rows
-from termdrift.plans.stages import cut
+from termdrift.plans.stages import counted, cut
 from termdrift.schemas import EDGES, TERMS
 from termdrift.sources.files import Source
 from termdrift.sources.owl import read_owl
@@ -32,6 +32,17 @@ def resolve_table(terms: DataFrame) -> DataFrame:
     return own.union(other).groupBy("any_id").agg(F.max_by("canonical_id", F.struct("own", "o", "canonical_id")).alias("canonical_id"))
 
 
+def last_terms(terms: DataFrame) -> DataFrame:
+    """terms with one row for each identifier, and ordinal if they have it."""
+    fields = [c for c in terms.columns if c not in ("identifier", "ordinal")]
+    row = F.struct(*fields)
+    if "ordinal" not in terms.columns:
+        last = terms.groupBy("identifier").agg(F.max(row).alias("t"))
+    else:
+        last = terms.groupBy("identifier").agg(F.max_by(row, F.struct("ordinal", row)).alias("t"), F.min("ordinal").alias("ordinal"))
+    return last.select("identifier", "t.*", *(["ordinal"] if "ordinal" in terms.columns else []))
+
+
 def step_edges(edges: DataFrame, resolve: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
     """child -> parent as walks take them: from any identifier of a term to its raw parents."""
     some = edges.where(F.col("relation").isin(*relations)).select(F.col("child").alias("canonical_id"), "parent").distinct()
@@ -44,16 +55,32 @@ def walk(seeds: DataFrame, steps: DataFrame) -> DataFrame:
     Breadth first; nodes that a seed has reached are not walked again, so cycles end. Each level
     is computed once and kept in the checkpoint folder; only whether it has rows reaches the driver.
     """
-    frontier = cut(seeds.select("seed", "node"))
+    frontier, n = counted(seeds.select("seed", "node"))
     seen, level = frontier.select("seed", "node", F.lit(0).alias("distance")).limit(0), 0
-    while not frontier.isEmpty():
+    while n:
         level += 1
         ahead = frontier.join(steps, frontier.node == steps.child).select("seed", F.col("parent").alias("node")).distinct()
-        frontier = cut(ahead.join(seen.select("seed", "node"), ["seed", "node"], "left_anti"))
+        frontier, n = counted(ahead.join(seen.select("seed", "node"), ["seed", "node"], "left_anti"))
         seen = seen.union(frontier.select("seed", "node", F.lit(level).alias("distance")))
     return seen
 
 
+def closure(steps: DataFrame) -> DataFrame:
+    """node, ancestor: everything that steps (node, ancestor) lead to from each node.
+
+    Paths are doubled: what is reached by up to n steps, taken twice, is reached by up to 2n, so the
+    number of rounds is the logarithm of the longest path. Within a cycle a node is its own ancestor.
+    """
+    reached, n = counted(steps.select("node", "ancestor").distinct())
+    while True:
+        far = reached.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"))
+        twice = reached.join(far, "ancestor").select("node", F.col("further").alias("ancestor"))
+        before = n
+        reached, n = counted(reached.union(twice).distinct())
+        if n == before:
+            return reached
+
+
 def nearest(new_resolve: DataFrame, new_edges: DataFrame, old_resolve: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
     """node, target_term, distance: for identifiers that the old ontology lacks, the nearest it has.
 
@@ -71,10 +98,10 @@ def nearest(new_resolve: DataFrame, new_edges: DataFrame, old_resolve: DataFrame
         ahead = steps.join(frontier, steps.parent == frontier.node).select(F.col("child").alias("node"), "target_term").distinct()
         if settled is not None:
             ahead = ahead.join(settled.select("node").distinct(), "node", "left_anti")
-        frontier = cut(ahead)
+        frontier, n = counted(ahead)
         found = frontier.select("node", "target_term", F.lit(level).alias("distance"))
         settled = found if settled is None else settled.union(found)
-        if frontier.isEmpty():
+        if not n:
             return settled
 
 
@@ -124,8 +151,10 @@ class Ontology:
     """A release's terms (TERMS), edges (EDGES) and how identifiers resolve."""
 
     def __init__(self, terms: DataFrame, edges: DataFrame | None = None, *, release: str | None = None, source: Source | None = None):
+        """terms may have ordinal, their order: of those with one identifier the last one counts, in
+        the first one's place. Without it the greatest row counts, as rows have no order."""
         spark = terms.sparkSession
-        self.terms = terms
+        self.terms = last_terms(terms)
         self.edges = (edges if edges is not None else spark.createDataFrame([], EDGES)).distinct()
         self.release, self.source = release, source
         self.spark = spark
@@ -140,19 +169,18 @@ class Ontology:
         rows: dict[str, dict] = {}
         for t in terms:
             name, fields = (t, {}) if isinstance(t, str) else t
-            rows.pop(name, None)
             rows[name] = {"identifier": name, **blank, **fields}
         data = [tuple(r[f.name] for f in TERMS) + (i,) for i, r in enumerate(rows.values())]
         schema = StructType([*TERMS.fields, StructField("ordinal", LongType(), False)])
         return cls(spark.createDataFrame(data, schema), spark.createDataFrame(list(edges), EDGES), **rest)
 
     @classmethod
-    def from_owl(cls, spark: SparkSession, source: Source | str, *, strict: bool = True) -> tuple[Ontology, Report]:
-        """The ontology of a file, and the report of reading and validating it."""
+    def from_owl(cls, spark: SparkSession, source: Source | str, *, report: Report | None = None, strict: bool = True) -> tuple[Ontology, Report]:
+        """The ontology of a file, and the report of reading and validating it (the given one, if any)."""
         source = Source.of(source)
-        terms, edges, release, report = read_owl(spark, source)
-        out = cls(terms, edges, release=release, source=source)
-        report = report.extend(out.validate())
+        terms, edges, release, found = read_owl(spark, source)
+        out = cls(cut(terms), cut(edges), release=release, source=source)
+        report = Report.into(report, found.extend(out.validate()))
         if strict:
             report.raise_for_errors()
         return out, report
@@ -191,17 +219,23 @@ class Ontology:
 
         Within a cycle a term is its own ancestor.
         """
-        asked = self.resolve_ids(ids.select("term_id").distinct()).where("canonical_id IS NOT NULL")
+        asked = cut(self.resolve_ids(ids.select("term_id").distinct()).where("canonical_id IS NOT NULL"))
         steps = cut(step_edges(self.edges, self.resolve, relations))
-        found = walk(asked.select(F.col("canonical_id").alias("seed"), F.col("canonical_id").alias("node")).distinct(), steps)
-        out = asked.join(found, asked.canonical_id == found.seed).select("term_id", F.col("node").alias("ancestor"))
+        found = closure(steps.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")))
+        out = asked.join(found, asked.canonical_id == found.node).select("term_id", "ancestor")
         if include_self:
             out = out.union(asked.select("term_id", F.col("canonical_id").alias("ancestor")))
         return out.distinct()
 
     def propagate(self, ids: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
-        """ancestor: the resolved terms and all their ancestors; unknown identifiers don't count."""
-        return self.ancestors_of(ids, relations, include_self=True).select("ancestor").distinct()
+        """ancestor: the resolved terms and all their ancestors; unknown identifiers don't count.
+
+        One walk for all of them together.
+        """
+        start = self.resolve_ids(ids.select("term_id").distinct()).where("canonical_id IS NOT NULL")
+        start = cut(start.select(F.lit(0).alias("seed"), F.col("canonical_id").alias("node")).distinct())
+        found = walk(start, cut(step_edges(self.edges, self.resolve, relations)))
+        return start.select("node").union(found.select("node")).distinct().select(F.col("node").alias("ancestor"))
 
     def project_from(self, new: Ontology, ids: DataFrame, relations: Iterable[str] = PROPAGATING) -> DataFrame:
         """Terms of new (term_id) in this ontology; see project."""
@@ -234,5 +268,5 @@ class Ontology:
         tables.append(issue_rows(roots.where("n > 0 AND roots = 0"), issue("MISSING_GO_ROOTS", "no namespace's root is among the terms", WARNING, **place)))
         report = Report.of(*tables)
         if self.has_cycle():
-            report = report.error("ONTOLOGY_CYCLE", "is_a and part_of edges close a circle", source=self.source.name if self.source else None)
+            report.error("ONTOLOGY_CYCLE", "is_a and part_of edges close a circle", source=self.source.name if self.source else None)
         return report

@@ -80,5 +80,9 @@ class AnnotationSnapshot:
             out.report.raise_for_errors()
         return out
 
+    @property
+    def validation(self) -> Report:
+        return self.report
+
     def count(self) -> int:
         return self.annotations.count()

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termdrift.plans.stages import counted
 from termdrift.schemas import ISSUES
 
 ERROR, WARNING = "error", "warning"
@@ -27,13 +27,31 @@ class ValidationIssue(NamedTuple):
 
 
 class ValidationError(ValueError):
-    """Raised by strict operations; issues holds the errors (at most LIMIT of them)."""
+    """Raised by strict operations.
 
-    LIMIT = 1000
+    table holds all errors (ISSUES), count is their number. issues is all of them in order, fetched
+    a partition at a time when it is first asked for. The message quotes the first QUOTED.
+    """
 
-    def __init__(self, issues: Iterable[ValidationIssue]):
-        self.issues = tuple(issues)
-        super().__init__("\n".join(map(str, self.issues)))
+    QUOTED = 100
+
+    def __init__(self, table: DataFrame, count: int):
+        self.table, self.count = table, count
+        first = [_issue(r) for r in _in_order(table).limit(self.QUOTED).collect()]
+        more = [] if count <= len(first) else [f"... {count} errors in all"]
+        super().__init__("\n".join([*map(str, first), *more]))
+
+    @cached_property
+    def issues(self) -> tuple[ValidationIssue, ...]:
+        return tuple(map(_issue, _in_order(self.table).toLocalIterator()))
+
+
+def _issue(row) -> ValidationIssue:
+    return ValidationIssue(row.code, row.message, row.severity, row.source, row.line)
+
+
+def _in_order(table: DataFrame) -> DataFrame:
+    return table.orderBy(F.col("line").asc_nulls_last(), F.col("ordinal").asc_nulls_last(), "code", "message")
 
 
 def issue(code: str, message: Column | str, severity: str, source: Column | None = None, line: Column | None = None, when: Column | None = None) -> Column:
@@ -55,7 +73,7 @@ def issue_rows(df: DataFrame, *found: Column, order: Column | None = None) -> Da
 
 
 class Report:
-    """The issues of an operation, a lazily evaluated table (ISSUES)."""
+    """The issues of an operation, a lazily evaluated table (ISSUES), to which more may be added."""
 
     def __init__(self, issues: DataFrame):
         self.issues = issues
@@ -68,13 +86,22 @@ class Report:
     def of(cls, *tables: DataFrame) -> Report:
         return cls(reduce(DataFrame.unionByName, tables))
 
+    def copy(self) -> Report:
+        return Report(self.issues)
+
     def extend(self, other: Report) -> Report:
-        """Both reports' issues (as bags) in a new report."""
-        return Report(self.issues.unionByName(other.issues))
+        """Adds the other report's issues (as bags); returns this one."""
+        self.issues = self.issues.unionByName(other.issues)
+        return self
 
     def add(self, code: str, message: str, severity: str, *, source: str | None = None, line: int | None = None) -> Report:
-        spark = self.issues.sparkSession
-        return Report(self.issues.unionByName(spark.createDataFrame([(code, message, severity, source, line, None)], ISSUES)))
+        one = self.issues.sparkSession.createDataFrame([(code, message, severity, source, line, None)], ISSUES)
+        return self.extend(Report(one))
+
+    @classmethod
+    def into(cls, report: Report | None, found: Report) -> Report:
+        """What was found, added to the report that a caller collects in, if there is one."""
+        return found if report is None else report.extend(found)
 
     def error(self, code: str, message: str, **place) -> Report:
         return self.add(code, message, ERROR, **place)
@@ -98,9 +125,13 @@ class Report:
         return not self.issues.isEmpty()
 
     def raise_for_errors(self, *, first: bool = False) -> None:
-        """The strict gate: one action. first: only the errors of the first line that has any."""
-        rows = self.errors.orderBy(F.col("line").asc_nulls_last(), F.col("ordinal").asc_nulls_last(), "code", "message").limit(ValidationError.LIMIT).collect()
-        if rows:
-            if first:
-                rows = [r for r in rows if r.line == rows[0].line]
-            raise ValidationError(ValidationIssue(r.code, r.message, r.severity, r.source, r.line) for r in rows)
+        """The strict gate: all errors are written once, and raise if there are any.
+
+        first: only the errors of the first line that has any.
+        """
+        table, count = counted(self.errors)
+        if count and first:
+            table = table.where(F.col("line").eqNullSafe(F.lit(table.agg(F.min("line")).first()[0])))
+            count = table.count()
+        if count:
+            raise ValidationError(table, count)

@@ -48,7 +48,7 @@ def compare_changes(x: Inputs) -> DataFrame:
 
 @query
 def compare_changes_reviewed(x: Inputs) -> DataFrame:
-    changes = C.compare_annotations(x.old, x.new, identities=x.identities, policy=REVIEWED, strict=False).changes
+    changes = C.compare_annotations(x.old, x.new, identities=x.identities, evidence_policy=REVIEWED, strict=False).changes
     return changes.select("sequence_id", "term_id", "relation", "aspect", "kind", "qualifies")
 
 

@@ -5,21 +5,35 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and written to the shared checkpoint folder, and read from there.
 
     Executors may be lost later without loss, plans that use it start from files, and the
-    optimizer knows its size. The folder is the session's spark.checkpoint.dir; only a session
-    without one (local tests) gets one here.
+    optimizer knows its size.
+    """
+    return counted(df)[0]
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same, and the number of rows, which is observed as they are written."""
+    spark, path, seen = df.sparkSession, scratch(df.sparkSession, "stage"), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the folder that driver and executors share, the session's spark.checkpoint.dir.
+
+    Only a session that runs on this machine alone gets a folder here if it names none.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="termdrift-"))
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="termdrift-"))
         folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,9 @@ from .files import Source, encoding_issues, numbered_lines
 # Fixed value: the twenty amino acids and the ambiguous or rare letters.
 PROTEIN_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: Lines in which one task counts headers.
+LINES = 100_000
+
 
 @dataclass(frozen=True)
 class FastaReader:
@@ -24,20 +26,29 @@ class FastaReader:
 
     alphabet: str = PROTEIN_ALPHABET
 
-    def read(self, spark: SparkSession, source: Source | str, *, strict: bool = True) -> tuple[DataFrame, Report]:
-        """The accepted records (SEQUENCES) of a file, and a report. strict: errors raise."""
-        records, report = self.records(numbered_lines(spark, source))
+    def read(self, spark: SparkSession, source: Source | str, *, report: Report | None = None, strict: bool = True) -> tuple[DataFrame, Report]:
+        """The accepted records (SEQUENCES) of a file, and a report: the given one, if any, with what was found. strict: errors raise."""
+        records, found = self.records(numbered_lines(spark, source))
+        report = Report.into(report, found)
         if strict:
             report.raise_for_errors(first=True)
         return records, report
 
+    def iter_records(self, spark: SparkSession, source: Source | str, *, report: Report | None = None, strict: bool = True) -> DataFrame:
+        """The records alone (the record parsers' common form)."""
+        return self.read(spark, source, report=report, strict=strict)[0]
+
+    parse = iter_records
+
     def records(self, lines: DataFrame) -> tuple[DataFrame, Report]:
         """The same for numbered lines.
 
-        A record's number is the count of headers up to it: headers are counted by block, then
-        within a block. Of records with one identifier, the first valid one counts.
+        A record's number is the count of headers up to it: headers are counted by stretches of
+        LINES lines, then within one, so a file that is a single block is many stretches, too. Of
+        records with one identifier, the first valid one counts.
         """
-        rows = lines.select("source", "file", "block", "line", strip(F.col("value")).alias("text")).where("text <> ''")
+        stretch = F.floor(F.col("line") / LINES).alias("block")
+        rows = lines.select("source", "file", stretch, "line", strip(F.col("value")).alias("text")).where("text <> ''")
         is_header = F.col("text").startswith(">")
         counts = rows.groupBy("file", "block").agg(F.sum(is_header.cast("bigint")).alias("headers"))
         earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
@@ -74,12 +85,3 @@ class FastaReader:
             numbered.where("record = 0"), issue("FASTA_SEQUENCE_BEFORE_HEADER", "residues stand before any header", ERROR, **place)
         )
         return accepted.select("identifier", "sequence", "description", "source", "line"), Report.of(encoding_issues(lines), early, issues)
-
-
-def read_all(spark: SparkSession, sources: Iterable[Source | str], *, strict: bool = True) -> DataFrame:
-    """The accepted records of several files together."""
-    tables = [FastaReader().read(spark, s, strict=strict)[0] for s in sources]
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 from os import PathLike, fspath
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ class Source:
     def of(cls, value: Source | str | PathLike) -> Source:
         return value if isinstance(value, cls) else cls(fspath(value))
 
+    from_value = of
+
     @property
     def name(self) -> str:
         return self.path
@@ -31,39 +35,60 @@ class Source:
     def is_gzip(self) -> bool:
         return self.path.lower().endswith(".gz")
 
-    def open_binary(self, spark: SparkSession) -> DataFrame:
-        """path, modificationTime, length and content (the stored bytes) of the file."""
-        return spark.read.format("binaryFile").load(self.path)
+    def open_binary(self, spark: SparkSession, chunk: int = 1 << 20) -> DataFrame:
+        """path, chunk (from 0) and content of each chunk of the file, decompressed if it is a .gz.
+
+        A task streams a file, so no chunk but the one at hand is in memory.
+        """
+
+        def run(batches):
+            for path in (p for batch in batches for p in batch.column(0).to_pylist()):
+                with opened(path) as stream:
+                    for n, data in enumerate(iter(lambda: stream.read(chunk), b"")):
+                        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64()), pa.array([data], pa.binary())], names=["path", "chunk", "content"])
+
+        return listed(spark, self.path).select("path").mapInArrow(run, "path string, chunk bigint, content binary")
 
     def open_text(self, spark: SparkSession) -> DataFrame:
         return numbered_lines(spark, self)
 
     def checksum(self, spark: SparkSession, algorithm: str = "sha256") -> str:
-        """Hex digest of the stored bytes, compressed or not; any algorithm of hashlib.
+        """Hex digest of the stored bytes, compressed or not; any algorithm of hashlib."""
+        return checksums(spark, [self], algorithm).first().digest
 
-        The usual ones are computed by Spark where the file is; others by hashlib, in chunks over
-        the stored bytes in one task.
-        """
-        usual = {"sha256": lambda c: F.sha2(c, 256), "sha224": lambda c: F.sha2(c, 224), "sha384": lambda c: F.sha2(c, 384), "sha512": lambda c: F.sha2(c, 512), "sha1": F.sha1, "md5": F.md5}
-        content = self.open_binary(spark)
-        if algorithm in usual:
-            return content.select(usual[algorithm](F.col("content"))).first()[0]
-        hashlib.new(algorithm)
-
-        def digest(batches):
-            import pyarrow as pa
-
-            for batch in batches:
-                out = []
-                for data in batch.column(0):
-                    h = hashlib.new(algorithm)
-                    view = memoryview(data.as_buffer())
-                    for i in range(0, len(view), 1 << 20):
-                        h.update(view[i : i + (1 << 20)])
-                    out.append(h.hexdigest())
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["digest"])
-
-        return content.select("content").mapInArrow(digest, "digest string").first()[0]
+
+def listed(spark: SparkSession, *paths: str) -> DataFrame:
+    """path and length of the files that paths name (files, folders or patterns); their content isn't read."""
+    return spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+
+
+def opened(path: str, *, stored: bool = False):
+    """A stream of a file's bytes, on an executor; of a .gz file the decompressed ones unless stored."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    return store.open_input_stream(name, compression="gzip" if path.lower().endswith(".gz") and not stored else None)
+
+
+def checksums(spark: SparkSession, sources: Iterable[Source | str | PathLike], algorithm: str = "sha256") -> DataFrame:
+    """path, length and digest (hex, of the stored bytes) of files; a task for each streams it in chunks."""
+    hashlib.new(algorithm)  # an unknown one is the caller's error
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for path in batch.column("path").to_pylist():
+                digest = hashlib.new(algorithm)
+                with opened(path, stored=True) as stream:
+                    for data in iter(lambda: stream.read(1 << 20), b""):
+                        digest.update(data)
+                out.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=["path", "length", "digest"])
+
+    files = listed(spark, *(Source.of(x).path for x in sources))
+    return files.repartition("path").mapInArrow(run, "path string, length bigint, digest string")
 
 
 def numbered_lines(spark: SparkSession, source: Source | str | PathLike) -> DataFrame:

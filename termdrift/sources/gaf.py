@@ -80,15 +80,25 @@ class GafFile:
 class GafReader:
     """Reads annotation files."""
 
-    def read(self, spark: SparkSession, source: Source | str, *, strict: bool = True) -> GafFile:
-        """strict: the errors of the first faulty line raise; a missing or old version raises last."""
+    def read(self, spark: SparkSession, source: Source | str, *, report: Report | None = None, strict: bool = True) -> GafFile:
+        """What the file holds; found issues are added to report, if given.
+
+        strict: the errors of the first faulty line raise; a missing or old version raises last.
+        """
         source = Source.of(source)
-        out = self.parse(numbered_lines(spark, source), source.name)
+        out = self.of_lines(numbered_lines(spark, source), source.name)
+        out = GafFile(out.annotations, out.metadata, Report.into(report, out.report))
         if strict:
             out.report.raise_for_errors(first=True)
         return out
 
-    def parse(self, lines: DataFrame, name: str) -> GafFile:
+    def iter_records(self, spark: SparkSession, source: Source | str, *, report: Report | None = None, strict: bool = True) -> DataFrame:
+        """The annotations alone (the record parsers' common form)."""
+        return self.read(spark, source, report=report, strict=strict).annotations
+
+    parse = iter_records
+
+    def of_lines(self, lines: DataFrame, name: str) -> GafFile:
         """The same for numbered lines of the file name."""
         rows = annotation_rows(lines)
         meta = metadata(lines)
