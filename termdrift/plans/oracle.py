@@ -8,9 +8,9 @@ WITH RECURSIVE seqs AS (
 ), seq AS (
   SELECT doc_id, upper(raw) AS s, concat('sha256:', sha256(upper(raw))) AS sequence_id FROM seqs
 ), targets AS (
-  SELECT concat('T', doc_id) AS target_id, sequence_id, doc_id AS ordinal FROM seq WHERE doc_id % 2 = 0
+  SELECT concat('T', doc_id) AS target_id, CASE WHEN doc_id % 10 = 3 THEN concat('sha256:', sha256(concat(s, 'WWW'))) ELSE sequence_id END AS sequence_id, doc_id AS ordinal FROM seq
 ), idx AS (
-  SELECT concat('P', doc_id) AS identifier, CASE WHEN doc_id % 3 = 0 THEN 'rel_new' ELSE 'rel_old' END AS source, sequence_id, s FROM seq WHERE doc_id % 5 <> 0
+  SELECT concat('P', doc_id) AS identifier, CASE WHEN doc_id % 3 = 0 THEN 'rel_new' ELSE 'rel_old' END AS source, sequence_id, s FROM seq
   UNION ALL SELECT concat('S', CAST(floor(doc_id / 8) AS BIGINT)), 'rel_old', sequence_id, s FROM seq WHERE doc_id % 5 = 1
 ), matched AS (
   SELECT target_id, sequence_id, ordinal FROM targets WHERE sequence_id IN (SELECT sequence_id FROM idx)
@@ -40,7 +40,7 @@ WITH RECURSIVE seqs AS (
 ), ann_base AS (
   SELECT CAST(floor(l_partkey / 2) AS BIGINT) AS doc, CAST(l_linenumber AS BIGINT) AS line, l_orderkey, l_shipdate < TIMESTAMP '1999-01-01 00:00:00' AS is_old,
     l_discount >= 0.095 AS negated, (['IDA', 'IMP', 'ISS', 'IBA', 'TAS', 'IC', 'ND', 'XXX', 'IEA', 'IEA'])[CAST(floor(l_quantity) AS BIGINT) % 10 + 1] AS evidence
-  FROM lineitem WHERE l_orderkey % 3 = 0
+  FROM lineitem
 ), ann_n AS (
   SELECT *, (doc * 13 + line * 29) % (SELECT count(*) FROM part) AS n FROM ann_base
 ), ann AS (
@@ -132,9 +132,10 @@ CHANGES = _changes(_has("new_evidence", EXPERIMENTAL), _upgrade("old_evidence",
 
 GAF = """
 WITH lines AS (
-  SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS ln, l_orderkey * 10 + l_linenumber AS line, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey % 7 = 0
+  SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS ln, l_orderkey * 10 + l_linenumber AS line, l_partkey, l_suppkey,
+    1 + row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS spot FROM lineitem
 ), r AS (
-  SELECT CAST(line AS BIGINT) AS line, k, k % 37 = 0 AS long, k % 37 <> 0 AND ln = 7 AS head, concat('P', l_partkey) AS subject_id,
+  SELECT CAST(line AS BIGINT) AS line, CAST(spot AS BIGINT) AS spot, l_partkey, k, k % 37 = 0 AS long, k % 37 <> 0 AND ln = 7 AS head, concat('P', l_partkey) AS subject_id,
     k % 5 <> 0 AND k % 11 = 0 AS several, k % 5 = 0 OR (k % 11 <> 0 AND k % 13 = 0) AS negated,
     CASE WHEN k % 5 = 0 THEN 'enables' WHEN k % 11 = 0 OR k % 13 = 0 THEN '' ELSE 'located_in' END AS relation,
     CASE WHEN k % 17 = 0 THEN 'XX:1' ELSE concat('GO:', lpad(CAST(l_suppkey AS VARCHAR), 7, '0')) END AS term_id,
@@ -151,7 +152,7 @@ WITH d AS (
     CASE WHEN doc_id % 31 = 0 THEN '' WHEN doc_id % 3 = 0 THEN concat('A', doc_id % 211) ELSE concat('B', doc_id % 307) END AS identifier,
     CASE WHEN doc_id % 31 = 0 THEN 'sp||none' WHEN doc_id % 3 = 0 THEN concat('sp|A', doc_id % 211, '|NAME text') ELSE concat('B', doc_id % 307, ' text') END AS description,
     CASE WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 7 = 0 THEN concat(upper(raw), '*1') ELSE upper(raw) END AS s,
-    doc_id % 13 <> 0 AND doc_id % 7 = 0 AS odd
+    doc_id % 13 <> 0 AND doc_id % 7 = 0 AS odd, 2 + 3 * (row_number() OVER (ORDER BY doc_id) - 1) AS spot
   FROM d
 ), firsts AS (SELECT identifier, min(line) AS first FROM rec WHERE identifier <> '' AND s <> '' AND NOT odd GROUP BY 1)"""
 
@@ -173,6 +174,10 @@ def sql() -> dict[str, str]:
         ("MISSING_EVIDENCE_CODE", "error", "NOT long AND evidence = ''"),
         ("NONSTANDARD_GAF_DATE", "warning", "NOT long AND date = '2024-01-01'"),
     ]
+    gaf_messages = {
+        "INVALID_GAF_COLUMN_COUNT": "17 columns expected, found: 18", "MULTIPLE_GAF_RELATIONS": "several relations: enables, involved_in", "INVALID_GAF_ASPECT": "no such aspect: Q",
+        "INVALID_GO_IDENTIFIER": "no GO identifier: XX:1", "MISSING_EVIDENCE_CODE": "the evidence column is empty", "NONSTANDARD_GAF_DATE": "not eight digits: 2024-01-01",
+    }
     namespace = "CASE aspect WHEN 'F' THEN 'molecular_function' WHEN 'P' THEN 'biological_process' ELSE 'cellular_component' END"
     return {
         "compare_changes": CHANGES + " SELECT * FROM changes",
@@ -201,7 +206,7 @@ SELECT target_id, sequence_id, string_agg(concat(identifier, '@', source), '|' O
         "identity_aliases_for": INPUTS + " SELECT DISTINCT identifier, source FROM idx WHERE sequence_id = (SELECT min(sequence_id) FROM matched)",
         "index_size": INPUTS + " SELECT count(DISTINCT s) AS n_sequences FROM idx",
         "index_of_one_release": INPUTS
-        + """ SELECT target_id, CAST(count(*) AS INTEGER) AS n_aliases FROM targets JOIN (SELECT doc_id, sequence_id FROM seq WHERE doc_id % 4 = 1) USING (sequence_id) GROUP BY target_id""",
+        + """ SELECT target_id, CAST(count(*) AS INTEGER) AS n_aliases FROM targets JOIN (SELECT doc_id, sequence_id FROM seq) USING (sequence_id) GROUP BY target_id""",
         "subject_first_sequence": INPUTS + " SELECT * FROM subjects",
         "ambiguous_alias": INPUTS
         + " SELECT 'AMBIGUOUS_SEQUENCE_ALIAS' AS code, ordinal, count(*) AS n FROM subject_rows r JOIN subjects s USING (subject_id) WHERE r.sequence_id <> s.sequence_id GROUP BY 2",
@@ -222,6 +227,60 @@ FROM body WHERE NOT (long OR several OR aspect = 'Q' OR term_id = 'XX:1' OR evid
         "gaf_row_issues": GAF
         + " UNION ALL ".join(f" SELECT '{code}' AS code, '{severity}' AS severity, 'file' AS source, line FROM body WHERE {rule}" for code, severity, rule in gaf_errors),
         "gaf_metadata_last_wins": GAF + " SELECT concat('key ', k % 5) AS key, arg_max(concat('value ', k), line) AS value, max(line) AS line FROM r WHERE head GROUP BY 1",
+        "files_fasta_records": FASTA + " SELECT identifier, s AS sequence, description, CAST(spot AS BIGINT) AS line FROM rec JOIN firsts USING (identifier) WHERE line = first",
+        "files_fasta_issues": FASTA
+        + """, found AS (
+  SELECT 'EMPTY_FASTA_IDENTIFIER' AS code, 'the header names nothing' AS message, spot FROM rec WHERE identifier = ''
+  UNION ALL SELECT 'DUPLICATE_FASTA_IDENTIFIER', concat('identifier seen before: ', identifier), spot FROM rec JOIN firsts USING (identifier) WHERE line > first
+  UNION ALL SELECT 'EMPTY_FASTA_SEQUENCE', concat('no residues: ', identifier), spot FROM rec WHERE s = ''
+  UNION ALL SELECT 'INVALID_AMINO_ACID', 'letters outside the alphabet: *1', spot FROM rec WHERE odd
+  UNION ALL SELECT 'FASTA_SEQUENCE_BEFORE_HEADER', 'residues stand before any header', 1
+) SELECT code, message, 'error' AS severity, CAST(spot AS BIGINT) AS line FROM found""",
+        "files_gaf_annotations": GAF
+        + """ SELECT 'DB' AS "database", subject_id, '' AS symbol, relation, term_id, negated, 'PMID:1|PMID:2' AS "references", evidence, '' AS with_from, aspect, 'name' AS name, 'a|b' AS synonyms,
+  'protein' AS object_type, 'taxon:1' AS taxa, date, 'me' AS assigned_by, '' AS extensions, '' AS gene_product_form_id, true AS has_source, spot AS line
+FROM body WHERE NOT (long OR several OR aspect = 'Q' OR term_id = 'XX:1' OR evidence = '')""",
+        "files_gaf_issues": GAF
+        + " UNION ALL ".join(
+            f" SELECT '{code}' AS code, '{severity}' AS severity, '{gaf_messages[code]}' AS message, spot AS line FROM body WHERE {rule}" for code, severity, rule in gaf_errors
+        ),
+        "files_gaf_metadata": GAF
+        + """ SELECT concat('key ', k % 5) AS key, arg_max(concat('value ', k), spot) AS value, max(spot) AS line FROM r WHERE head GROUP BY 1
+UNION ALL SELECT 'gaf-version', '2.2', 1""",
+        "files_gaf_versions": """SELECT 'none' AS file, 'MISSING_GAF_VERSION' AS code, CAST(NULL AS BIGINT) AS line UNION ALL SELECT 'one', 'UNSUPPORTED_GAF_VERSION', NULL""",
+        "files_lines": INPUTS
+        + """ SELECT 'faulty.gaf' AS file, false AS is_gzip, count(*) + 1 AS n, count(*) + 1 AS last FROM lineitem
+UNION ALL SELECT 'all.txt.gz', true, count(*), count(*) FROM lineitem""",
+        "files_checksum": """SELECT concat(name, '/', bucket) AS name, sha256(string_agg(concat(value, chr(10)), '' ORDER BY key)) AS sha256, CAST(sum(strlen(value) + 1) AS BIGINT) AS length FROM (
+  SELECT 'orders' AS name, o_orderkey // 10000 AS bucket, o_orderkey AS key, concat(o_orderkey, ' ', o_custkey, ' ', o_orderstatus) AS value FROM orders
+  UNION ALL SELECT 'customer', c_custkey // 10000, c_custkey, concat(c_custkey, ' ', c_name) FROM customer
+  UNION ALL SELECT 'part', p_partkey // 10000, p_partkey, concat(p_partkey, ' ', p_name) FROM part
+  UNION ALL SELECT 'supplier', s_suppkey // 10000, s_suppkey, concat(s_suppkey, ' ', s_name) FROM supplier
+) GROUP BY name, bucket""",
+        "files_binary": INPUTS + " SELECT sha256(string_agg(concat(l_orderkey * 10 + l_linenumber, chr(10)), '' ORDER BY l_orderkey * 10 + l_linenumber)) AS sha256 FROM lineitem",
+        "files_owl_terms": INPUTS
+        + """ SELECT id AS identifier, concat('term ', n) AS label, namespace, false AS obsolete, CASE WHEN n % 11 = 4 THEN concat('GO:', lpad(CAST(n + 9000000 AS VARCHAR), 7, '0')) ELSE '' END AS alternate_ids,
+  'http://example.org/new/go.owl' AS release FROM num""",
+        "files_owl_edges": INPUTS + " SELECT DISTINCT child, relation, parent FROM edges",
+        "files_owl_faults": "SELECT 'broken' AS file, 'INVALID_OWL' AS code, 0 AS n_terms UNION ALL SELECT 'none', 'INVALID_OWL', 0 UNION ALL SELECT 'empty', 'EMPTY_GO_ONTOLOGY', 0",
+        "files_snapshot": INPUTS
+        + f""", known AS (SELECT any_id, namespace FROM new_resolve JOIN num ON id = canonical_id), wanted AS (SELECT DISTINCT subject_id FROM subject_rows)
+SELECT 'annotations' AS what, count(*) AS n FROM ann JOIN wanted USING (subject_id) WHERE NOT is_old
+UNION ALL SELECT 'terms', count(*) FROM num
+UNION ALL SELECT CASE WHEN namespace IS NULL THEN 'UNKNOWN_ANNOTATION_TERM' ELSE 'ANNOTATION_ASPECT_MISMATCH' END, count(*)
+FROM ann JOIN wanted USING (subject_id) LEFT JOIN known ON any_id = term_id WHERE NOT is_old AND (namespace IS NULL OR namespace <> {namespace}) GROUP BY 1
+UNION ALL SELECT 'MISSING_GO_ROOTS', count(*) FROM (SELECT count(*) AS n FROM num WHERE id IN ('GO:0003674', 'GO:0008150', 'GO:0005575')) WHERE n = 0""",
+        "files_compare": CHANGES + " SELECT * FROM changes",
+        "changes_in_order": CHANGES + f" SELECT CAST(row_number() OVER (ORDER BY {key}) AS BIGINT) AS place, {key}, kind FROM changes",
+        "onto_contains": INPUTS + " SELECT id AS term_id, id IN (SELECT any_id FROM old_resolve) AS known FROM num WHERE n < 7",
+        "onto_last_terms": INPUTS
+        + """, again AS (
+  SELECT n, id, 'first' AS label, 'GO:7000000' AS alternate FROM num UNION ALL SELECT n, id, 'last', concat('GO:', lpad(CAST(7000000 + n % 3 AS VARCHAR), 7, '0')) FROM num WHERE n % 2 = 0
+), kept AS (SELECT n, id, min(label) = 'first' AND count(*) = 1 AS once, CASE WHEN count(*) = 2 THEN 'last' ELSE 'first' END AS label, CASE WHEN count(*) = 2 THEN max(alternate) FILTER (label = 'last') ELSE max(alternate) END AS alternate FROM again GROUP BY n, id)
+SELECT id AS any_id, id AS canonical_id, label FROM kept UNION ALL SELECT alternate, arg_max(id, n), '' FROM kept GROUP BY alternate""",
+        "onto_faults": INPUTS
+        + """ SELECT 'AMBIGUOUS_ALTERNATE_ID' AS code, count(*) AS n FROM num WHERE n >= 1 UNION ALL SELECT 'ONTOLOGY_CYCLE', 1
+UNION ALL SELECT 'MISSING_GO_ROOTS', count(*) FROM (SELECT count(*) AS n FROM num WHERE id IN ('GO:0003674', 'GO:0008150', 'GO:0005575')) WHERE n = 0""",
         "resolve_ids": INPUTS + " SELECT id AS term_id, canonical_id FROM num LEFT JOIN old_resolve ON any_id = id",
         "onto_parents": INPUTS + " SELECT DISTINCT term_id, parent FROM ann JOIN steps ON child = term_id",
         "onto_edges_grouped": INPUTS + " SELECT child, relation, string_agg(DISTINCT parent, '|' ORDER BY parent) AS parents FROM edges GROUP BY 1, 2",

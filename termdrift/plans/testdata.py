@@ -8,17 +8,23 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termdrift.operators.identity import IdentityMap, SequenceIndex
+from termdrift.operators.identity import IdentityMap, SequenceDataset, SequenceIndex
 from termdrift.operators.ontology import Ontology
 from termdrift.operators.snapshot import AnnotationSnapshot
 from termdrift.plans.issues import Report
+from termdrift.plans.stages import cut, scratch
+from termdrift.sources.files import listed
 
 ASPECTS = ("F", "P", "C")
 SPACES = ("molecular_function", "biological_process", "cellular_component")
 EVIDENCE = ("IDA", "IMP", "ISS", "IBA", "TAS", "IC", "ND", "XXX", "IEA", "IEA")
+OWL_HEAD = """<?xml version="1.0" encoding="UTF-8"?>
+<r:RDF xmlns:r="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:s="http://www.w3.org/2000/01/rdf-schema#" xmlns:w="http://www.w3.org/2002/07/owl#"
+  xmlns:o="http://www.geneontology.org/formats/oboInOwl#">
+<w:Ontology r:about="http://example.org/go.owl"><w:versionIRI r:resource="http://example.org/{release}/go.owl"/></w:Ontology>"""
 DROPPED = 17  # terms whose number leaves 5 by it lie in no older release and have no parents
 
 
@@ -50,13 +56,15 @@ class Inputs:
 
     @cached_property
     def targets(self) -> DataFrame:
-        """identifier, sequence and line (the order) of the cohort."""
-        return self.sequences.where("doc_id % 2 = 0").select(F.concat(F.lit("T"), "doc_id").alias("identifier"), "sequence", F.col("doc_id").alias("line"))
+        """identifier, sequence and line (the order) of the cohort: every document, some with an ending that no release has."""
+        n = F.col("doc_id")
+        own = F.when(n % 10 == 3, F.concat("sequence", F.lit("WWW"))).otherwise(F.col("sequence"))
+        return self.sequences.select(F.concat(F.lit("T"), "doc_id").alias("identifier"), own.alias("sequence"), n.alias("line"))
 
     @cached_property
     def index(self) -> SequenceIndex:
-        """Two releases; some accessions (S...) name several sequences."""
-        own = self.sequences.where("doc_id % 5 <> 0").withColumn("identifier", F.concat(F.lit("P"), "doc_id"))
+        """Every document in one of two releases; some have another accession (S...) that names several sequences."""
+        own = self.sequences.withColumn("identifier", F.concat(F.lit("P"), "doc_id"))
         shared = self.sequences.where("doc_id % 5 = 1").withColumn("identifier", F.concat(F.lit("S"), whole(F.col("doc_id"), 8)))
         new, old = own.where("doc_id % 3 = 0"), own.where("doc_id % 3 <> 0")
         return SequenceIndex.of(new, "rel_new").union(SequenceIndex.of(old.unionByName(shared), "rel_old"))
@@ -100,7 +108,7 @@ class Inputs:
     @cached_property
     def annotations(self) -> DataFrame:
         """Annotations of both releases: those of old have is_old."""
-        rows, n_terms = self.table("lineitem").where("l_orderkey % 3 = 0"), self.numbers.count()
+        rows, n_terms = self.table("lineitem"), self.numbers.count()
         doc = whole(F.col("l_partkey"), 2)
         line = F.col("l_linenumber").cast("bigint")
         is_old = F.col("l_shipdate") < F.lit("1999-01-01 00:00:00").cast("timestamp")
@@ -126,7 +134,7 @@ class Inputs:
     @cached_property
     def gaf_lines(self) -> DataFrame:
         """Numbered lines as of an annotation file, with faults."""
-        rows = self.table("lineitem").where("l_orderkey % 7 = 0")
+        rows = self.table("lineitem")
         k, line = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
         qualifier = F.when(k % 5 == 0, "NOT|enables").when(k % 11 == 0, "enables|involved_in").when(k % 13 == 0, "NOT").otherwise("located_in")
         cells = [
@@ -137,7 +145,7 @@ class Inputs:
         ]
         row = F.concat_ws("\t", *cells)
         value = F.when(k % 37 == 0, F.concat(row, F.lit("\tmore"))).when(line == 7, F.concat(F.lit("! Key "), k % 5, F.lit(" : value "), k)).otherwise(row)
-        return rows.select(F.lit("file").alias("source"), (k * 10 + line).alias("line"), value.alias("value"))
+        return rows.select(F.lit("file").alias("source"), (k * 10 + line).alias("line"), value.alias("value"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
     @cached_property
     def fasta_lines(self) -> DataFrame:
@@ -146,4 +154,81 @@ class Inputs:
         header = F.when(n % 31 == 0, ">sp||none").when(n % 3 == 0, F.concat(F.lit(">sp|A"), n % 211, F.lit("|NAME text"))).otherwise(F.concat(F.lit(">B"), n % 307, F.lit(" text")))
         body = F.when(n % 13 == 0, "").when(n % 7 == 0, F.concat("sequence", F.lit("*1"))).otherwise(F.col("sequence"))
         both = self.sequences.select("doc_id", F.posexplode(F.array(header, body)).alias("p", "value"))
-        return both.select(F.lit("file").alias("source"), F.lit("file").alias("file"), whole(n, 100).alias("block"), (n * 2 + F.col("p") + 1).alias("line"), "value")
+        return both.select(F.lit("file").alias("source"), F.lit("file").alias("file"), (n * 2 + F.col("p") + 1).alias("line"), "value")
+
+    def put(self, name: str, rows: DataFrame, *order: str) -> str:
+        """A text file of rows' values, in order, in the shared folder; its path. .gz in its name compresses it."""
+        folder = scratch(self.spark, "file")
+        packed = {"compression": "gzip"} if name.endswith(".gz") else {}
+        # One file is written by one task, which sorts on disk if it must.
+        rows.repartition(1).sortWithinPartitions(*order).select("value").write.options(**packed).text(folder)
+        return listed(self.spark, f"{folder}/part-*").select("path").first().path
+
+    def lines(self, *values: str) -> DataFrame:
+        return self.spark.createDataFrame(list(enumerate(values, -len(values))), "at long, value string")
+
+    @cached_property
+    def gaf_file(self) -> str:
+        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        head = self.lines("!gaf-version: 2.2").select("value", F.lit(0).alias("part"), *(F.lit(None).cast("long").alias(c) for c in order))
+        body = self.gaf_lines.select("value", F.lit(1).alias("part"), *order)
+        return self.put("faulty.gaf", head.union(body), "part", *order)
+
+    @cached_property
+    def fasta_file(self) -> str:
+        """fasta_lines with residues before the first header, and sequences over two lines."""
+        n, half = F.length("value"), whole(F.length("value"), 2).cast("int")
+        both = F.when(F.col("value").startswith(">"), F.array("value")).otherwise(F.array(F.substring("value", F.lit(1), half), F.substring("value", half + 1, n)))
+        body = self.fasta_lines.select("line", F.posexplode(both).alias("p", "value"))
+        return self.put("faulty.fasta", self.lines("LOST").select(F.lit(0).alias("line"), F.lit(0).alias("p"), "value").union(body), "line", "p")
+
+    def fasta_of(self, name: str, rows: DataFrame) -> str:
+        """A FASTA file of rows (identifier, sequence, doc_id)."""
+        both = F.posexplode(F.array(F.concat(F.lit(">sp|"), "identifier", F.lit("|NAME")), F.col("sequence"))).alias("p", "value")
+        return self.put(name, rows.select("doc_id", both), "doc_id", "p")
+
+    def annotation_file(self, name: str, snapshot: AnnotationSnapshot) -> str:
+        empty, one = F.lit(""), F.lit("x")
+        cells = ["database", "subject_id", one, F.concat_ws("|", F.when(F.col("negated"), "NOT"), F.when(F.col("relation") != "", F.col("relation"))), "term_id", empty, "evidence", empty, "aspect"]
+        value = F.concat_ws("\t", *cells, one, empty, one, empty, F.lit("20240101"), one, empty, empty)
+        body = snapshot.annotations.select("line", value.alias("value"))
+        return self.put(name, self.lines("!gaf-version: 2.2").select(F.col("at").alias("line"), "value").union(body), "line", "value")
+
+    def ontology_file(self, name: str, ontology: Ontology) -> str:
+        """The classes as RDF/XML, with prefixes of its own; edges of no term are descriptions without a type."""
+        about = lambda c: F.concat(F.lit("http://purl.obolibrary.org/obo/"), F.replace(c, F.lit(":"), F.lit("_")))
+        relation = F.when(F.col("relation") == "part_of", "BFO:0000050").otherwise(F.col("relation"))
+        up = F.when(F.col("relation") == "is_a", F.concat(F.lit('<s:subClassOf r:resource="'), about(F.col("parent")), F.lit('"/>'))).otherwise(F.concat(
+            F.lit('<s:subClassOf><w:Restriction><w:onProperty r:resource="'), about(relation), F.lit('"/><w:someValuesFrom r:resource="'), about(F.col("parent")),
+            F.lit('"/></w:Restriction></s:subClassOf>'),
+        ))
+        ups = ontology.edges.groupBy(F.col("child").alias("identifier")).agg(F.array_join(F.array_sort(F.collect_list(up)), "").alias("ups"))
+        rows = ontology.terms.withColumn("is_term", F.lit(True)).join(ups, "identifier", "full_outer")
+        alternates = F.array_join(F.transform("alternate_ids", lambda a: F.concat(F.lit("<o:hasAlternativeId>"), a, F.lit("</o:hasAlternativeId>"))), "")
+        fields = F.concat(F.lit("<s:label>"), "label", F.lit("</s:label><o:hasOBONamespace>"), "namespace", F.lit("</o:hasOBONamespace>"), alternates)
+        tag = F.when(F.col("is_term"), "w:Class").otherwise("r:Description")
+        value = F.concat(F.lit("<"), tag, F.lit(' r:about="'), about(F.col("identifier")), F.lit('">'), F.coalesce(fields, F.lit("")), F.coalesce("ups", F.lit("")), F.lit("</"), tag, F.lit(">"))
+        head = self.lines(*OWL_HEAD.format(release=ontology.release).split("\n"))
+        both = head.select("at", F.lit("").alias("identifier"), "value").union(rows.select(F.lit(0), "identifier", value)).union(self.lines("</r:RDF>").select(F.lit(1), F.lit(""), "value"))
+        return self.put(name, both, "at", "identifier")
+
+    @cached_property
+    def snapshots_of_files(self) -> tuple[IdentityMap, AnnotationSnapshot, AnnotationSnapshot]:
+        """The comparison's inputs written as files, and read again."""
+        releases = {"rel_old": "rel_old.fasta.gz", "rel_new": "rel_new.fasta"}
+        entries = self.index.entries.withColumn("doc_id", F.xxhash64("identifier", "sequence"))
+        # A file names an accession once; the other sequences of a shared one follow in a file of their own.
+        rank = F.row_number().over(Window.partitionBy("identifier", "alias_source").orderBy("doc_id"))
+        entries = cut(entries.distinct().withColumn("rank", rank))
+        index = SequenceIndex.empty(self.spark)
+        for r in entries.select("rank", "alias_source").distinct().orderBy("rank", "alias_source").collect():
+            own = entries.where((F.col("rank") == r.rank) & (F.col("alias_source") == r.alias_source))
+            index.add_fasta(self.fasta_of(releases[r.alias_source], own), source_name=r.alias_source, strict=False)
+        cohort = SequenceDataset.read(self.spark, self.fasta_of("targets.fasta", self.targets.withColumnRenamed("line", "doc_id")), strict=False)
+        old, new = (
+            AnnotationSnapshot.read(
+                self.spark, release=s.release, annotations=self.annotation_file(f"{s.release}.gaf", s), ontology=self.ontology_file(f"{s.release}.owl", s.ontology), strict=False
+            )
+            for s in (self.old, self.new)
+        )
+        return index.match(cohort.records), old, new
