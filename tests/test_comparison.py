@@ -85,12 +85,12 @@ def test_reading_a_snapshot(spark, tmp_path):
     from test_sources import OWL, row
 
     (tmp_path / "go.owl").write_text(OWL)
-    (tmp_path / "a.gaf").write_text("!gaf-version: 2.2\n" + "\n".join([row(c5="GO:0000001", c9="P"), row(c2="P2", c5="GO:9999999", c9="F"), row(c2="P3", c9="X")]))
+    (tmp_path / "a.gaf").write_text("!gaf-version: 2.2\n" + "\n".join([row(c5="GO:0040011", c9="P"), row(c2="P2", c5="GO:0070001", c9="F"), row(c2="P3", c9="X")]))
     paths = {"annotations": str(tmp_path / "a.gaf"), "ontology": str(tmp_path / "go.owl")}
     with pytest.raises(ValidationError) as e:
         AnnotationSnapshot.read(spark, release="r", **paths)
     assert [(i.code, i.line) for i in e.value.issues] == [("ANNOTATION_ASPECT_MISMATCH", 3), ("INVALID_GAF_ASPECT", 4)]
-    subjects = spark.createDataFrame([("DB:P1",)], "subject_id string")
+    subjects = spark.createDataFrame([("MGI:MGI:7",)], "subject_id string")
     got = AnnotationSnapshot.read(spark, release="r", subjects=subjects, strict=False, **paths)
     assert got.count() == 1 and [r.code for r in got.report.issues.collect()] == ["INVALID_GAF_ASPECT"]
 

@@ -31,6 +31,15 @@ def test_the_last_claim_of_an_alternate_identifier_wins(spark):
     assert o.resolve_id("GO:9") == "GO:1" and o.resolve_id("GO:2") == "GO:2"
 
 
+def test_the_last_of_equal_terms_counts(spark):
+    schema = "identifier string, label string, namespace string, obsolete boolean, alternate_ids array<string>, replaced_by array<string>, consider array<string>, ordinal long"
+    rows = [("GO:1", "old", "molecular_function", False, ["GO:8"], [], [], 1), ("GO:2", "x", "", False, ["GO:8"], [], [], 2), ("GO:1", "new", "biological_process", False, ["GO:8"], [], [], 3)]
+    o = Ontology(spark.createDataFrame(rows, schema))
+    assert {(t.identifier, t.label, t.namespace) for t in o.terms.collect()} == {("GO:1", "new", "biological_process"), ("GO:2", "x", "")}
+    assert o.resolve_id("GO:8") == "GO:2"  # a repeated term keeps its first place
+    assert Ontology(spark.createDataFrame(rows, schema).drop("ordinal")).count() == 2
+
+
 def projected(old, new, *names):
     rows = old.project_from(new, ids(old.spark, *names)).collect()
     return {(r.term_id, r.source_term, r.target_term, r.distance, r.kind) for r in rows}
