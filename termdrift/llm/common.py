@@ -155,8 +155,20 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], total: int,
     return found.unionByName(first.where("_hot IS NULL").drop("_hot").join(rest, keys, how).select(*left.columns, *own))
 
 
+def only(df: DataFrame, row_hash: Column, kept: DataFrame) -> DataFrame:
+    """One row of df for each of kept (_id: its doc_id, _hash: its row_hash), with df's columns.
+
+    Rows that repeat each other have one partitioning with the join, so texts are shuffled once.
+    """
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    keys = lambda doc, h: [F.coalesce(F.col(doc).cast("string"), F.lit("")).alias("_key"), h.alias("_row")]
+    whole = df.select(*keys("doc_id", row_hash), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    found = whole.join(kept.select(*keys("_id", F.col("_hash"))), ["_key", "_row"], "left_semi")
+    return found.dropDuplicates(["_key", "_row"]).select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "documents", "forget", "join_unique", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "documents", "forget", "join_unique", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, join_unique, per_text, written
+from .common import documents, join_unique, only, per_text, written
 from .components import components
 
 SEGMENTS, BITS, MAX_BITS = 4, 16, 3
@@ -182,14 +182,11 @@ def drop_near_duplicates(df: DataFrame) -> DataFrame:
     Among equal doc_ids the smallest hash of the row decides; a null doc_id comes last.
     """
     row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
-    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     ids = df.select("doc_id", "text", row_hash.alias("row_hash"))
     rows = written(fingerprints(ids, ("doc_id", "row_hash")), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")).alias("k")
     kept = grouped(rows).groupBy("root").agg(first).select(F.col("k.doc_id").alias("_id"), F.col("k.row_hash").alias("_hash"))
-    whole = df.select(F.col("doc_id").alias("_doc"), row_hash.alias("_row"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
-    found = whole.join(kept, (F.col("_row") == F.col("_hash")) & F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    return found.dropDuplicates(["_doc", "_row"]).select(*(F.col(n).alias(c) for c, n in names.items()))
+    return only(df, row_hash, kept)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
