@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -40,11 +40,16 @@ def shared_path(spark: SparkSession, what: str) -> str:
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts lineage and outlives executors."""
-    spark, path = df.sparkSession, shared_path(df.sparkSession, what)
-    df.write.parquet(path)
+    return counted(df, what)[0]
+
+
+def counted(df: DataFrame, what: str) -> tuple[DataFrame, int]:
+    """The same, and the number of rows, which is observed as they are written."""
+    spark, path, seen = df.sparkSession, shared_path(df.sparkSession, what), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
-    return out
+    return out, seen.get["n"]
 
 
 def forget(*tables: DataFrame) -> None:
@@ -171,4 +176,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "documents", "forget", "join_unique", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "counted", "documents", "forget", "join_unique", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, join_unique, written
+from .common import counted, forget, join_unique, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -24,13 +24,13 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         # Large star: neighbours above u are tied to u's least neighbour.
-        both = written(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "star-both")
+        both, n_both = counted(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "star-both")
         least = written(_least(both), "star-least")
-        large = join_unique(both, least, ["u"], both.count()).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large.where("u <> v"), "star-large")
+        large = join_unique(both, least, ["u"], n_both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large, n_large = counted(large.where("u <> v"), "star-large")
         # Small star: u and its neighbours below are tied to the least of them.
         fewer = written(_least(large), "star-least")
-        small = join_unique(large, fewer, ["u"], large.count())
+        small = join_unique(large, fewer, ["u"], n_large)
         ties = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         done, edges = edges, written(ties.select("e.u", "e.v").where("u <> v").distinct(), "star")
         forget(done, both, least, large, fewer)
