@@ -45,11 +45,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 def counted(df: DataFrame, what: str) -> tuple[DataFrame, int]:
     """The same, and the number of rows, which is observed as they are written."""
+    out, seen = observed(df, what, F.count(F.lit(1)).alias("n"))
+    return out, seen["n"]
+
+
+def observed(df: DataFrame, what: str, *totals: Column) -> tuple[DataFrame, dict]:
+    """The same, and totals of the rows by name, which are observed as they are written."""
     spark, path, seen = df.sparkSession, shared_path(df.sparkSession, what), Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    df.observe(seen, *totals).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
-    return out, seen.get["n"]
+    return out, seen.get
 
 
 def forget(*tables: DataFrame) -> None:
@@ -176,4 +182,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "counted", "documents", "forget", "join_unique", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "counted", "documents", "forget", "join_unique", "observed", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

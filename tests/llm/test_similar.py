@@ -52,4 +52,38 @@ def test_a_chain_of_near_copies_is_one_group(spark):
 def test_shingles_and_bands(n):
     text = " ".join(f"w{i}" for i in range(n))
     found = similar.shingles(text)
-    assert len(found) == len(brute_shingles(text)) and len(set(similar.bands(found).tolist())) == similar.BANDS
+    assert len(found) == len(brute_shingles(text)) and len(set(similar.bands(similar.least_hashes(found)).tolist())) == similar.BANDS
+
+
+def test_sketches_tell_how_far_sets_are_apart(spark):
+    rng = random.Random(2)
+    least = [similar.least_hashes(similar.shingles(" ".join(f"w{rng.randrange(30)}" for _ in range(200)))) for _ in range(2)]
+    want = int(((least[0] ^ least[1]) & 15 != 0).sum())
+    row = {f"{c}{i}": int(x) for c, found in zip("ab", map(similar.sketch, least)) for i, x in enumerate(found)}
+    one = spark.createDataFrame([row], ", ".join(f"{c} long" for c in row))
+    assert want > similar.APART and one.select(similar.apart("a", "b")).first()[0] == want
+    assert one.select(similar.apart("a", "a")).first()[0] == 0
+
+
+@pytest.mark.parametrize("cell", [2, 4096])
+def test_copies_that_share_no_band_with_the_least_one_meet(spark, monkeypatch, cell):
+    monkeypatch.setattr(similar, "CELL", cell)
+    rng = random.Random(3)
+    base, texts = [f"w{rng.randrange(9000)}" for _ in range(120)], {}
+    for i in range(40):  # a passage of all, and ends of two kinds: some pairs are similar enough, some just not
+        end = [f"{'a' if i % 2 else 'b'}{k}" if rng.random() < 0.97 else f"c{rng.randrange(99)}" for k in range(40)]
+        texts[i] = " ".join(base + end)
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    assert {r.doc_id for r in similar.drop_near_copies(df).collect()} == brute_kept(texts)
+
+
+def test_across_gives_each_near_pair_of_different_components_once(spark, monkeypatch):
+    monkeypatch.setattr(similar, "CELL", 2)
+    rng = random.Random(4)
+    sketches = {i: [rng.choice((0, 1 << 40))] * similar.LONGS for i in range(30)}
+    rows = [(i, 10, key, i % 4 if i % 3 else 7) for i in range(30) for key in (1, 2) if (i + key) % 5]
+    met = spark.createDataFrame(rows, "id long, size long, key long, root long")
+    nodes = spark.createDataFrame(list(sketches.items()), "id long, sketch array<bigint>")
+    want = {(a, b) for a, _, k, r in rows for b, _, l, q in rows if k == l and a < b and r != q}
+    got = [tuple(r) for r in similar.across(met, len(rows), nodes).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
