@@ -21,6 +21,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -35,6 +36,8 @@ from .common import arrow_schema, documents, per_text, plain_text, shared_path,
 BLOCK_BYTES = 32 << 20
 #: Buckets of a block's words, and different words that are encoded together, about.
 BUCKETS, STRETCH = 256, 200_000
+#: Words of blocks, repeats included, that wait for their ids at once, about.
+WAITING = 1_000_000
 #: Slots of the table of mergeable pairs.
 SLOTS = 1 << 20
 
@@ -250,9 +253,11 @@ def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFra
         find = regex.compile(pattern).findall
         for part in slices(batches, "text", BLOCK_BYTES):
             numbers = Numbers()
-            found = [planes(np.fromiter(map(numbers.__getitem__, find(t)), np.uint32)) if t else b"" for t in part.column("text").to_pylist()]
+            n, found = part.num_rows, []
+            for i in range(0, n, 256):  # few texts at a time as Python's strings
+                texts = part.column("text").slice(i, 256).to_pylist()
+                found += [planes(np.fromiter(map(numbers.__getitem__, find(t)), np.uint32)) if t else b"" for t in texts]
             block = int.from_bytes(os.urandom(8), "big") >> 1
-            n = part.num_rows
             columns = [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.array(found, pa.binary()), part.column("key").cast(arrow.field("key").type)]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
             words = [w.encode() for w in numbers]
@@ -275,37 +280,46 @@ def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFra
 
 
 def encoded_words(words: DataFrame, make: Callable[[], Codec]) -> DataFrame:
-    """block and data (numbers and ids) of words (block, bucket, data): equal words meet and are encoded together."""
+    """block and data (numbers and ids) of words (block, bucket, data): equal words meet and are encoded together.
+
+    Words stay known, each with its number, until there are STRETCH of them and a bucket ends (or four
+    times as many); what blocks ask for waits as numbers and is answered every WAITING words.
+    """
     schema = StructType.fromDDL("block bigint, data binary")
     arrow = arrow_schema(schema)
 
     def run(batches):
         replay = make().replay
-
-        def done(rows: list, known: dict[bytes, list[int]]) -> Iterator[pa.RecordBatch]:
-            new = [w for w, ids in known.items() if ids is None]
-            known.update(zip(new, replay.encode(new)))
+        known, ids = {}, pa.array([], pa.list_(pa.uint32()))
+        rows, waiting, last = [], 0, None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            nonlocal ids
+            new = replay.encode(list(islice(known, len(ids), None)))
+            ends = np.append(0, np.cumsum(np.fromiter(map(len, new), np.int32, len(new)), dtype=np.int32))
+            flat = np.fromiter(chain.from_iterable(new), np.uint32, ends[-1])
+            ids = pa.concat_arrays([ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))])
             for i in range(0, len(rows), 256):
                 out = []
                 for block, steps, own in rows[i : i + 256]:
-                    ids = [known[w] for w in own]
-                    flat = np.fromiter((t for x in ids for t in x), np.uint32)
-                    out.append((block, packed(steps, planes(np.array([len(x) for x in ids])), planes(flat))))
+                    found = ids.take(pa.array(own))
+                    out.append((block, packed(steps, planes(pa.compute.list_value_length(found).to_numpy()), planes(found.flatten().to_numpy()))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
-        rows, known, last = [], {}, None
         for batch in batches:
             for block, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "data"))):
-                if len(known) >= STRETCH and (bucket != last or len(known) >= 4 * STRETCH):
-                    yield from done(rows, known)
-                    rows, known = [], {}
+                full = len(known) >= STRETCH and (bucket != last or len(known) >= 4 * STRETCH)
+                if full or waiting >= WAITING:
+                    yield from done()
+                    rows, waiting = [], 0
+                if full:
+                    known, ids = {}, ids[:0]
                 last = bucket
                 steps, sizes, text = unpacked(data)
                 own = pieces(text, unplaned(sizes))
-                for w in own:
-                    known.setdefault(w)
-                rows.append((block, steps, own))
-        yield from done(rows, known)
+                rows.append((block, steps, np.fromiter((known.setdefault(w, len(known)) for w in own), np.uint32, len(own))))
+                waiting += len(own)
+        yield from done()
 
     return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 

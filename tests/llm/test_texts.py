@@ -284,6 +284,7 @@ def test_long_runs_and_words_done_one_by_one(plain):
 def test_blocks_and_stretches_do_not_matter(spark, docs_of, plain, monkeypatch, block, stretch):
     monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", block)
     monkeypatch.setattr(byte_bpe, "STRETCH", stretch)
+    monkeypatch.setattr(byte_bpe, "WAITING", stretch // 2)  # words wait for less than a stretch
     library, _ = plain
     draw = random.Random(3)
     words = ["the", "valley", "é中", "  ", "\n\n", "'s", "123", "international", "zqxj", "\U0001f600"]
