@@ -65,13 +65,13 @@ class AnnotationSnapshot:
     source: Source | None = None
 
     @classmethod
-    def read(cls, spark: SparkSession, *, release: str, annotations: Source | str, ontology: Source | str, subjects: DataFrame | None = None, strict: bool = True) -> AnnotationSnapshot:
+    def read(cls, spark: SparkSession, *, release: str, annotations: Source | str, ontology: Source | str, subjects: DataFrame | None = None, strict: bool = True, every_claim: bool = False) -> AnnotationSnapshot:
         """Reads both files, keeps subjects' annotations and checks them against the ontology.
 
         Faulty rows are reported whatever their subject. strict: all errors raise together, at
-        the end.
+        the end. every_claim: as of Ontology.
         """
-        go, report = Ontology.from_owl(spark, ontology, strict=False)
+        go, report = Ontology.from_owl(spark, ontology, strict=False, every_claim=every_claim)
         source = Source.of(annotations)
         file = GafReader().read(spark, source, strict=False)
         kept = by_subjects(file.annotations, subjects)

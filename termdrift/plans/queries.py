@@ -366,7 +366,7 @@ def files_owl_faults(x: Inputs) -> DataFrame:
 def files_snapshot(x: Inputs) -> DataFrame:
     """Sizes and issue counts of a snapshot read for the matched subjects."""
     read = AnnotationSnapshot.read(
-        x.spark, release="new", annotations=x.annotation_file("new.gaf", x.new), ontology=x.ontology_file("new.owl", x.new_ontology), subjects=x.identities.subject_ids, strict=False
+        x.spark, release="new", annotations=x.annotation_file("new.gaf", x.new), ontology=x.ontology_file("new.owl", x.new_ontology), subjects=x.identities.subject_ids, strict=False, every_claim=True
     )
     sizes = x.spark.createDataFrame([("annotations", read.count()), ("terms", read.ontology.count())], "what string, n long")
     return sizes.union(read.report.issues.groupBy(F.col("code").alias("what")).agg(F.count(F.lit(1)).alias("n")))

@@ -110,3 +110,23 @@ def test_random_graphs_agree_with_a_plain_walk(spark, seed):
         above |= {(n, a) for a in reached}
     assert projected(old, new, *names) == want
     assert ancestors(new, *names) == above
+
+
+def test_every_claim_of_an_identifier_may_count(spark):
+    terms = [("GO:1", {"alternate_ids": ["GO:3"]}), ("GO:2", {"alternate_ids": ["GO:3", "GO:9"]}), "GO:3", ("GO:4", {"alternate_ids": ["GO:9"]})]
+    edges = [("GO:1", "is_a", "A"), ("GO:2", "is_a", "B"), ("GO:3", "is_a", "C"), ("GO:4", "is_a", "D")]
+    one = Ontology.of(spark, terms, edges)
+    o = Ontology(one.terms, one.edges, every_claim=True)
+    assert {(r.term_id, r.canonical_id) for r in o.resolve_ids(ids(spark, "GO:3", "GO:9", "GO:8")).collect()} == {
+        ("GO:3", "GO:1"), ("GO:3", "GO:2"), ("GO:3", "GO:3"), ("GO:9", "GO:2"), ("GO:9", "GO:4"), ("GO:8", None),
+    }
+    assert o.resolve_id("GO:3") == "GO:3" and o.resolve_id("GO:9") == "GO:4" and o.resolve_id("GO:8") is None
+    assert {r.parent for r in o.parents_of(ids(spark, "GO:3")).collect()} == {"A", "B", "C"}
+    assert ancestors(o, "GO:3", "GO:4", "GO:9") == {("GO:3", x) for x in "ABC"} | {("GO:4", "D"), ("GO:9", "B"), ("GO:9", "D")}
+    assert {r.ancestor for r in o.propagate(ids(spark, "GO:9")).collect()} == {"GO:2", "GO:4", "B", "D"}
+    got = Ontology.of(spark, ["A", "GO:2"]).project_from(o, ids(spark, "GO:3", "GO:9")).collect()
+    assert {(r.term_id, r.source_term, r.target_term, r.kind) for r in got} == {
+        ("GO:3", "GO:1", "A", "nearest_ancestor"), ("GO:3", "GO:2", "GO:2", "same"), ("GO:3", "GO:3", "A", "nearest_ancestor"),
+        ("GO:9", "GO:2", "GO:2", "same"), ("GO:9", "GO:4", None, "unmappable"),
+    }
+    assert {r.code for r in one.validate().issues.collect()} - {r.code for r in o.validate().issues.collect()} == {"AMBIGUOUS_ALTERNATE_ID"}
