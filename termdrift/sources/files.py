@@ -106,7 +106,8 @@ def numbered_lines(spark: SparkSession, source: Source | str | PathLike) -> Data
     sums = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return rows.join(sums, ["file", "block"]).select(
+    # A hint, as the size of a compressed file would have its lines be the side that the driver collects.
+    return rows.join(F.broadcast(sums), ["file", "block"]).select(
         F.lit(source.name).alias("source"), "file", "block", (F.col("id") - F.col("first") + F.col("offset") + 1).alias("line"), "value"
     )
 
