@@ -72,6 +72,28 @@ def opened(path: str, *, stored: bool = False):
     return store.open_input_stream(name, compression="gzip" if path.lower().endswith(".gz") and not stored else None)
 
 
+def joined(spark: SparkSession, parts: str, whole: str) -> str:
+    """The stored bytes of parts (a pattern; Spark's part files), in the order of their names, as one file; its path.
+
+    Compressed parts make a compressed whole, as .gz files may have several members.
+    """
+    from urllib.parse import quote
+
+    def run(batches):
+        from pyarrow import fs
+
+        found = sorted((p for batch in batches for p in batch.column(0).to_pylist()), key=lambda p: (len(p), p))
+        store, name = fs.FileSystem.from_uri(quote(whole, safe="/:@"))
+        with store.open_output_stream(name, compression=None) as out:
+            for path in found:
+                with opened(path, stored=True) as stream:
+                    for data in iter(lambda: stream.read(1 << 23), b""):  # noqa: B023
+                        out.write(data)
+        yield pa.RecordBatch.from_arrays([pa.array([whole])], names=["path"])
+
+    return listed(spark, parts).select("path").repartition(1).mapInArrow(run, "path string").collect()[0].path
+
+
 def checksums(spark: SparkSession, sources: Iterable[Source | str | PathLike], algorithm: str = "sha256") -> DataFrame:
     """path, length and digest (hex, of the stored bytes) of files; a task for each streams it in chunks."""
     hashlib.new(algorithm)  # an unknown one is the caller's error
