@@ -22,7 +22,7 @@ def folder(spark, tmp_path_factory):
     return at
 
 
-@pytest.mark.parametrize("name", ["compare_changes"])
+@pytest.mark.parametrize("name", ["compare_changes", "compare_changes_reviewed"])
 def test_changes_of_identifiers_that_several_terms_claim(spark, folder, name):
     con = duckdb.connect()
     for table in ("part", "documents", "lineitem"):
