@@ -3,20 +3,22 @@
 Candidates share one of 40 bands of five MinHash values; a pair at exactly 0.8 shares none with a
 probability of 1.3e-7, and less above. Every candidate is confirmed by its whole sets. Groups are
 the components of confirmed pairs: first each member of a bucket is held against the bucket's
-least one, then those pairs that still lie in different components are. Of these only pairs whose
-sketches (four bits of each of the 200 values) differ in 76 places at most are emitted and
-confirmed; a pair at exactly 0.8 differs in more with a probability of 6e-11 if values are independent, and less above.
+least one, then those pairs that still lie in different components are, within the bucket: no row is
+made of a pair. Of these only pairs whose sketches (four bits of each of the 200 values) differ in 76 places at most
+are confirmed; a pair at exactly 0.8 differs in more with a probability of 6e-11 if values are independent, and less above.
 """
 
 from __future__ import annotations
 
-from itertools import repeat
+from collections.abc import Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import counted, join_unique, only, per_text, written
+from .common import HOT, counted, join_unique, only, per_text, written
 from .components import components
 
 SHINGLE, BANDS, ROWS = 5, 40, 5
@@ -26,8 +28,8 @@ PART, WHOLE = 4, 5
 FEW = 2_000_000
 #: Numbers that hold a sketch, 16 values each, and the places in which those of near copies may differ.
 LONGS, APART = -(-BANDS * ROWS // 16), 76
-#: Members of a bucket on either side of a cell.
-CELL = 4096
+#: Members of a bucket on either side of a cell, and their shingles, about.
+CELL, CELL_SIZE = 512, 2_000_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(42))
 _XOR = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64, False)
@@ -124,29 +126,113 @@ def confirmed(pairs: DataFrame, whole: DataFrame) -> tuple[DataFrame, int]:
     return counted(pairs.where(both * WHOLE >= (F.size("of_u") + F.size("of_v") - both) * PART).select("u", "v"), "similar-links")
 
 
-def across(met: DataFrame, n_met: int, nodes: DataFrame) -> DataFrame:
-    """u, v: the pairs of a bucket's sets in different components whose sketches are near enough, each once.
+def by_key(left: DataFrame, right: DataFrame, total: int) -> DataFrame:
+    """left (total rows) joined to right, which has one row for each key and, in column n, left's rows with it.
 
-    met: id, size, key and root, a row for each set of a bucket; n_met: its rows; nodes: id and sketch of
-    each set. Sets of a bucket's most frequent component aren't held against each other, the others are held
-    against all, in cells of CELL by CELL sets.
+    Keys with more than 1/HOT of all rows, fewer than HOT, are told by the driver, as literals, and
+    broadcast; so rows that right lacks go through no join but the one that drops them.
     """
-    parts = met.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = parts.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    blocks = [F.ceil(x / CELL).alias(name) for x, name in ((F.col("n") - F.col("top.c"), "down"), (F.col("n"), "wide"))]
+    hot = [r.key for r in right.where(F.col("n") > total // HOT).select("key").collect()]
+    right = right.drop("n")
+    if not hot:
+        return left.join(right, "key")
+    often = F.col("key").isin(hot)
+    return left.where(often).join(F.broadcast(right.where(often)), "key").unionByName(left.where(~often).join(right.where(~often), "key"))
+
+
+def across(met: DataFrame, n_met: int, nodes: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """u, v: links of a bucket's sets in different components.
+
+    met: id, size, key and root, a row for each set of a bucket; n_met: its rows; nodes: id, bands and sketch of
+    each set; whole: id and shingles. Sets of a bucket's most frequent component aren't held against each other, the
+    others are held against all, in cells of about CELL by CELL sets and CELL_SIZE by CELL_SIZE shingles. Within a cell
+    pairs that meet in this bucket first and whose sketches are near enough are confirmed by their whole sets; of the
+    links only those come out that tie components which no earlier one of the cell does. So no row is made of a pair.
+    Without whole (nodes: id and sketch) all pairs whose sketches are near enough are links, each once.
+    """
+    parts = met.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("s"))
+    mixed = parts.groupBy("key").agg(F.sum("c").alias("n"), F.sum("s").alias("s"), F.max(F.struct("c", "root", "s")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    blocks = [F.ceil(F.greatest(n / CELL, s / CELL_SIZE)).alias(name) for n, s, name in ((F.col("n") - F.col("top.c"), F.col("s") - F.col("top.s"), "down"), (F.col("n"), F.col("s"), "wide"))]
     mixed = written(mixed.select("key", "n", F.col("top.root").alias("main"), *blocks), "similar-mixed")
-    met = join_unique(met, mixed, ["key"], n_met)
-    numbers = [F.col("sketch")[i].alias(f"s{i}") for i in range(LONGS)]
-    met = written(met.join(nodes.select("id", "sketch"), "id").select("id", "size", "key", "root", "main", "down", "wide", *numbers), "similar-open")
+    met = written(by_key(met, mixed, n_met).select("id", "size", "key", "root", "main", "down", "wide"), "similar-open")
     to = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
     at = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
-    few = met.where("root <> main").withColumn("cell", F.explode(F.transform(to("wide"), lambda j: at("down") * F.col("wide") + j)))
-    other = met.select(F.col("id").alias("v"), F.col("size").alias("v_size"), F.col("root").alias("v_root"), "key",
-                       F.explode(F.transform(to("down"), lambda j: j * F.col("wide") + at("wide"))).alias("cell"), *(F.col(f"s{i}").alias(f"t{i}") for i in range(LONGS)))
-    once = (F.col("v_root") == F.col("main")) | (F.col("id") < F.col("v"))
-    near = F.least("size", "v_size") * WHOLE >= F.greatest("size", "v_size") * PART
-    found = few.join(other, ["key", "cell"]).where((F.col("root") != F.col("v_root")) & once & near & (apart("s", "t") <= APART))
-    return found.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct()
+    few = met.where("root <> main").withColumn("cell", F.explode(F.transform(to("wide"), lambda j: at("down") * F.col("wide") + j))).withColumn("few", F.lit(True))
+    all_ = met.withColumn("cell", F.explode(F.transform(to("down"), lambda j: j * F.col("wide") + at("wide")))).withColumn("few", F.lit(False))
+    sure = whole is not None
+    own = nodes.select("id", "sketch", "bands").join(whole, "id") if sure else nodes.select("id", "sketch")
+    rows = few.union(all_).drop("down", "wide").join(own, "id").repartition("key", "cell").sortWithinPartitions("key", "cell")
+    found = rows.mapInArrow(lambda batches: in_cells(batches, sure), "u bigint, v bigint")
+    return found if sure else found.distinct()
+
+
+def in_cells(batches: Iterator[pa.RecordBatch], sure: bool) -> Iterator[pa.RecordBatch]:
+    """The links of each cell, whose rows follow each other; see across(). sure: rows have bands and shingles."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    parts: list[pa.RecordBatch] = []
+    last = None
+
+    def done():
+        pairs = cell_links(pa.Table.from_batches(parts).combine_chunks(), sure)
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, cell = (batch.column(c).to_numpy() for c in ("key", "cell"))
+        starts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1).tolist(), len(key)]
+        for start, end in pairwise(starts):
+            if parts and last != (key[start], cell[start]):
+                yield done()
+                parts = []
+            parts.append(batch.slice(start, end - start))
+            last = key[start], cell[start]
+    if parts:
+        yield done()
+
+
+def cell_links(rows: pa.Table, sure: bool) -> list[tuple[int, int]]:
+    """The links of one cell; see across()."""
+    few = rows.column("few").to_numpy()
+    if not few.any() or few.all():
+        return []
+    ids, sizes, root, main, key = (rows.column(c).to_numpy() for c in ("id", "size", "root", "main", "key"))
+    lists = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
+    marks = lists("sketch").view(np.uint64).reshape(-1, LONGS)
+    if sure:
+        keys, found = lists("bands").reshape(-1, BANDS), lists("shingles").view(np.uint64)
+        ends = np.cumsum(sizes)
+    others, out, parent = np.flatnonzero(~few), [], {}
+
+    def top(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    def alike(i, j):
+        a, b = (found[ends[k] - sizes[k] : ends[k]] for k in (i, j))
+        both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+        return both * WHOLE >= (len(a) + len(b) - both) * PART
+
+    for i in np.flatnonzero(few).tolist():
+        n, m = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        near = others[(root[others] != root[i]) & ((root[others] == main[0]) | (ids[i] < ids[others])) & (n * WHOLE >= m * PART)]
+        if sure and len(near):
+            first = (keys[near] == keys[i]).argmax(1)
+            near = near[keys[i][first] == key[0]]
+        if len(near):
+            x = marks[near] ^ marks[i]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            near = near[np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(1) <= APART]
+        for j in near.tolist():
+            if sure:
+                a, b = top(int(root[i])), top(int(root[j]))
+                if a == b or not alike(i, j):
+                    continue
+                parent[max(a, b)] = min(a, b)
+            out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+    return out
 
 
 def roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -159,7 +245,7 @@ def roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
     nodes, n_nodes = counted(nodes, "similar-nodes")
     keyed = nodes.select("id", "size", "row_hash", F.explode("bands").alias("key"))
     least = keyed.groupBy("key").agg(F.min("id").alias("u"), F.min_by("size", "id").alias("u_size"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = written(join_unique(keyed, written(least, "similar-least"), ["key"], n_nodes * BANDS), "similar-met")
+    met = written(by_key(keyed, written(least, "similar-least"), n_nodes * BANDS), "similar-met")
     wanted, n_wanted = counted(met.select("row_hash").distinct(), "similar-wanted")
     few = F.broadcast(wanted) if n_wanted <= FEW else wanted
     whole = written(sets(texts.join(few, "row_hash", "left_semi").select("text")), "similar-whole").dropDuplicates(["id"])
@@ -170,7 +256,7 @@ def roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
     rooted = nodes.select("id").join(ties, nodes.id == ties.node, "left").select("id", F.coalesce("root", "id").alias("root"))
     met = met.select("id", "size", "key").join(ties, met.id == ties.node, "left").select("id", "size", "key", F.coalesce("root", "id").alias("root"))
     met, n_met = counted(met, "similar-tied")
-    more, n_more = confirmed(across(met, n_met, nodes), whole)
+    more, n_more = counted(across(met, n_met, nodes, whole), "similar-across")
     if not n_more:
         return rooted
     # What the first links tie together is one node for those across.

@@ -87,3 +87,39 @@ def test_across_gives_each_near_pair_of_different_components_once(spark, monkeyp
     want = {(a, b) for a, _, k, r in rows for b, _, l, q in rows if k == l and a < b and r != q}
     got = [tuple(r) for r in similar.across(met, len(rows), nodes).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("cell", [3, 512])
+def test_across_makes_no_row_of_a_pair(spark, monkeypatch, cell):
+    monkeypatch.setattr(similar, "CELL", cell)
+    rng, texts, n = random.Random(5), {}, 60
+    base = [f"w{i}" for i in range(200)]
+    for i in range(n):  # all alike and each a component: 1,770 near pairs, some similar enough
+        words = list(base)
+        for _ in range(rng.choice((2, 3, 4))):
+            words[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = similar.banded(df, ("doc_id",)).cache()
+    of = {r.doc_id: r.id for r in rows.collect()}
+    keyed = rows.selectExpr("id", "size", "id AS root", "explode(bands) AS key")
+    found = similar.across(keyed, 40 * n, rows.select("id", "bands", "sketch"), similar.sets(df)).collect()
+    shared = keyed.groupBy("key").count().where("count > 1").agg({"count": "sum"}).first()[0]
+    assert len(found) < (shared if cell == 512 else 4 * shared) and len(set(found)) == len(found)
+    whole = {of[i]: brute_shingles(t) for i, t in texts.items()}
+    assert all(u < v and len(whole[u] & whole[v]) / len(whole[u] | whole[v]) >= 0.8 for u, v in found)
+    root = {i: i for i in texts}
+    at = {v: k for k, v in of.items()}
+    for u, v in found:
+        low, high = sorted((root[at[u]], root[at[v]]))
+        root.update({i: low for i in root if root[i] == high})
+    assert {i for i in texts if root[i] == i} == brute_kept(texts)
+
+
+def test_keys_without_a_partner_go_through_no_join_of_their_own(spark):
+    left = spark.createDataFrame([(i, k) for i, k in enumerate([7] * 50 + list(range(100, 160)) + [8, 8])], "id long, key long")
+    right = spark.createDataFrame([(7, 50, "a"), (8, 2, "b")], "key long, n long, name string")
+    for total in (112, 60_000, 10**7):  # all keys are hot, one is, none is
+        got = similar.by_key(left, right, total)
+        assert sorted(r.name for r in got.collect()) == ["a"] * 50 + ["b"] * 2
+        assert "LeftOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
