@@ -21,7 +21,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -30,16 +30,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import arrow_schema, documents, per_text, plain_text, shared_path, slices
+from .common import arrow_schema, batches_of, documents, per_text, plain_text, shared_path, slices
 
 #: Bytes of text in a block; a longer text makes a block of its own.
 BLOCK_BYTES = 32 << 20
+#: Bytes of text, or of numbers, that a task has at once outside of a block's words, about.
+PART_BYTES = 1 << 20
 #: Buckets of a block's words, and different words that are encoded together, about.
 BUCKETS, STRETCH = 256, 200_000
 #: Words of blocks, repeats included, that wait for their ids at once, about.
 WAITING = 1_000_000
-#: Slots of the table of mergeable pairs.
-SLOTS = 1 << 20
+#: Slots of the table of mergeable pairs, and positions that are indexed at once.
+SLOTS, POSITIONS = 1 << 20, 1 << 18
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -60,7 +62,7 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.single = np.array([ranks[bytes([b])] for b in range(255)] + [self.BORDER], np.int64)  # UTF-8 has no byte 255
+        self.single = np.array([ranks[bytes([b])] for b in range(255)] + [self.BORDER], np.int32)  # UTF-8 has no byte 255
         keys, merged = [], []
         for token, r in ranks.items():
             for cut in range(1, len(token)):
@@ -85,7 +87,7 @@ class MergeReplay:
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """What pairs merge to, NONE for those that don't."""
-        pairs = (left << 32) | right
+        pairs = (left.astype(np.int64) << 32) | right
         slot = self.slot(pairs)
         out = np.where((left >= 0) & (right >= 0) & (self.keys[slot] == pairs), self.merged[slot], self.NONE)
         if len(other := np.flatnonzero(self.shared[slot] & (out == self.NONE))):
@@ -93,19 +95,27 @@ class MergeReplay:
             out[other] = np.where(self.lost_keys[at] == pairs[other], self.lost_merged[at], self.NONE)
         return out
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word (none is empty). A word that is a token is that token, as the library has it."""
-        whole = {i: [self.ranks[w]] for i, w in enumerate(words) if w in self.ranks}
-        parts = [w for i, w in enumerate(words) if i not in whole]
-        merged = iter(self.merge(parts) if parts else ())
-        return [whole[i] if i in whole else next(merged) for i in range(len(words))]
-
-    def merge(self, words: list[bytes]) -> list[list[int]]:
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (none is empty), and how many each has. A word that is a token is that token, as the library has it."""
+        whole = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
+        rest = np.flatnonzero(whole < 0)
+        sizes = np.ones(len(words), np.int64)
+        merged, sizes[rest] = self.merge([words[i] for i in rest.tolist()]) if len(rest) else (whole[:0], 0)
+        out, alone = np.empty(sizes.sum(), np.uint32), np.repeat(whole >= 0, sizes)
+        out[alone], out[~alone] = whole[whole >= 0], merged
+        return out, sizes
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.single[np.frombuffer(b"\xff" + b"\xff".join(words) + b"\xff", np.uint8)]
-        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        if len(ids) >= 1 << 31:
+            raise ValueError(f"words of {len(ids)} bytes can't be encoded together")
+        after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
         after[-1] = len(ids) - 1
         borders = np.flatnonzero(ids == self.BORDER)
-        pair = np.append(self.rank(ids[:-1], ids[1:]), self.NONE)
+        pair = np.full(len(ids), self.NONE, np.int32)
+        for i in range(0, len(ids) - 1, POSITIONS):
+            right = ids[i + 1 : i + 1 + POSITIONS]
+            pair[i : i + len(right)] = self.rank(ids[i : i + len(right)], right)
         waiting: dict[int, list[np.ndarray]] = {}
         queue: list[int] = []
         again: set[int] = set()
@@ -124,7 +134,8 @@ class MergeReplay:
                     waiting[rank] = [group]
                     heappush(queue, rank)
 
-        put(np.arange(len(ids)))
+        for i in range(0, len(ids), POSITIONS):
+            put(np.arange(i, min(i + POSITIONS, len(ids)), dtype=np.int32))
         while queue:
             r = heappop(queue)
             at = waiting.pop(r)
@@ -151,11 +162,13 @@ class MergeReplay:
                 again.update(np.searchsorted(borders, low, "right").tolist())
             put(touched)
         left = ids[ids != self.GONE]
-        cuts, flat = np.flatnonzero(left == self.BORDER).tolist(), left.tolist()
-        out = [flat[i + 1 : j] for i, j in zip(cuts, cuts[1:])]
-        for i in again:
-            out[i - 1] = self.merge_one(words[i - 1])
-        return out
+        sizes, flat = np.diff(np.flatnonzero(left == self.BORDER)) - 1, left[left != self.BORDER]
+        ends, parts, at = np.cumsum(sizes), [], 0
+        for i in sorted(again):
+            one = self.merge_one(words[i - 1])
+            parts += [flat[at : ends[i - 1] - sizes[i - 1]], np.array(one, flat.dtype)]
+            at, sizes[i - 1] = ends[i - 1], len(one)
+        return np.concatenate([*parts, flat[at:]]), sizes
 
     def merge_one(self, word: bytes) -> list[int]:
         """The same for one word by the definition: always the leftmost pair of the lowest rank."""
@@ -189,7 +202,8 @@ class Codec:
         """Per text its ids; null is an empty text. What the steps below do, in one place."""
         numbers = Numbers()
         split = [[numbers[w] for w in self.find(t)] if t else [] for t in texts]
-        ids = self.replay.encode([w.encode() for w in numbers])
+        flat, sizes = self.replay.encode([w.encode() for w in numbers])
+        ids = [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
         return [[i for n in x for i in ids[n]] for x in split]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -251,16 +265,12 @@ def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFra
         import regex
 
         find = regex.compile(pattern).findall
-        for part in slices(batches, "text", BLOCK_BYTES):
-            numbers = Numbers()
-            n, found = part.num_rows, []
-            for i in range(0, n, 256):  # few texts at a time as Python's strings
-                texts = part.column("text").slice(i, 256).to_pylist()
-                found += [planes(np.fromiter(map(numbers.__getitem__, find(t)), np.uint32)) if t else b"" for t in texts]
-            block = int.from_bytes(os.urandom(8), "big") >> 1
-            columns = [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.array(found, pa.binary()), part.column("key").cast(arrow.field("key").type)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        block, numbers, size = None, Numbers(), 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            """The rows of the block's words, which are forgotten."""
             words = [w.encode() for w in numbers]
+            numbers.clear()
             bucket = np.fromiter(map(crc32, words), np.uint32, len(words)) % BUCKETS
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -273,9 +283,25 @@ def numbered(df: DataFrame, pattern: str, id_col: str, text_col: str) -> DataFra
             columns = [pa.array(np.full(m, block)), pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.array(data, pa.binary()), pa.nulls(m, arrow.field("key").type)]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
+        for part in slices(batches, "text", min(PART_BYTES, BLOCK_BYTES)):  # few texts at a time as Python's strings
+            more = pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0
+            if block is not None and size + more > BLOCK_BYTES:
+                yield from done()
+                block = None
+            if block is None:
+                block, size = int.from_bytes(os.urandom(8), "big") >> 1, 0
+            size += more
+            n = part.num_rows
+            found = [planes(np.fromiter(map(numbers.__getitem__, find(t)), np.uint32)) if t else b"" for t in part.column("text").to_pylist()]
+            columns = [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.array(found, pa.binary()), part.column("key").cast(arrow.field("key").type)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        if block is not None:
+            yield from done()
+
     spark, path = df.sparkSession, shared_path(df.sparkSession, "bpe-numbers")
     rows = df.select(F.col(f"`{id_col}`").alias("key"), plain_text(F.col(f"`{text_col}`")).alias("text"))
-    rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    with batches_of(spark, 4 * PART_BYTES):
+        rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -295,9 +321,8 @@ def encoded_words(words: DataFrame, make: Callable[[], Codec]) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             nonlocal ids
-            new = replay.encode(list(islice(known, len(ids), None)))
-            ends = np.append(0, np.cumsum(np.fromiter(map(len, new), np.int32, len(new)), dtype=np.int32))
-            flat = np.fromiter(chain.from_iterable(new), np.uint32, ends[-1])
+            flat, sizes = replay.encode(list(islice(known, len(ids), None)))
+            ends = np.append(0, np.cumsum(sizes))
             ids = pa.concat_arrays([ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))])
             for i in range(0, len(rows), 256):
                 out = []
@@ -390,7 +415,7 @@ def encoded(df: DataFrame, path: str, pattern: str, id_col: str, text_col: str,
         store, root = fs.FileSystem.from_uri(folder)
         of_block, block, work = start(make()), None, None
         none = pa.array([], pa.list_(pa.int32()))
-        for batch in batches:
+        for batch in slices(batches, "data", PART_BYTES):
             names = batch.column("block").to_numpy()
             cuts = (np.flatnonzero(names[1:] != names[:-1]) + 1).tolist()
             for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -87,6 +88,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         yield batch.slice(start)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is planned within this gets batches of so many bytes, about, and of fewer rows than the session's; a longer row makes its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def arrow_schema(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -182,4 +195,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["F", "WORD", "arrow_schema", "counted", "documents", "forget", "join_unique", "observed", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]
+__all__ = ["F", "WORD", "arrow_schema", "batches_of", "counted", "documents", "forget", "join_unique", "observed", "only", "per_text", "plain_text", "shared_dir", "shared_path", "slices", "with_texts", "written"]

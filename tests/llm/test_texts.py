@@ -318,3 +318,34 @@ def test_tokens_of_odd_rows(spark, docs_of, plain):
     assert byte_bpe.token_digests(docs_of([]), *byte_bpe.vocabulary()).count() == 0
     with pytest.raises(ValueError):
         byte_bpe.encode_documents(df.withColumnRenamed("doc_id", "ids"), *byte_bpe.vocabulary(), id_col="ids")
+
+
+def test_a_block_goes_on_over_small_batches(spark, docs_of):
+    """A task's texts are one block, however they are dealt out, and few of its rows are held at once."""
+    from termdrift.llm.common import batches_of
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df = docs_of([(i, f"w{i} " * 200, "a") for i in range(300)]).coalesce(1).select("doc_id", "text")
+    before = spark.conf.get(name, None)
+    with batches_of(spark, 10_000):
+        table = byte_bpe.numbered(df, byte_bpe.vocabulary()[1], "doc_id", "text")
+        sizes = df.mapInArrow(lambda batches: (b.select(["doc_id"]) for b in batches if b.num_rows > 50), "doc_id long").count()
+    assert sizes == 0 and spark.conf.get(name, None) == before
+    with pytest.raises(ZeroDivisionError), batches_of(spark, 10_000):
+        1 / 0
+    assert spark.conf.get(name, None) == before
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        table = byte_bpe.numbered(df, byte_bpe.vocabulary()[1], "doc_id", "text")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert table.select("block").distinct().count() == 1 and table.where("bucket IS NULL").count() == 300
+
+
+def test_words_are_encoded_to_arrays(plain):
+    library, codec = plain
+    words = ["international", "the", " of", "zqxjkzqxjk", "aaaaaaa", "é", "a" * 300, "\U0001f600"]
+    for some in (words, words[1:3], words[3:4], []):
+        ids, sizes = codec.replay.encode([w.encode() for w in some])
+        want = [library.encode_ordinary(w) for w in some]
+        assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
