@@ -28,6 +28,15 @@ SEGMENTS, BITS, MAX_BITS = 4, 16, 3
 CELL = 4096
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the hashes (uint64)."""
+    n, counts = len(hashes), np.zeros(64, np.int64)
+    for i in range(0, n, 1 << 16):
+        part = hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """The unsigned SimHash of a text: A-Z in lower case, shingles of words, XXH64 of each.
 
@@ -41,12 +50,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else [b" ".join(words)]
     n = max(1, len(words) - shingle + 1)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64, n)
-    counts = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 16):
-        part = hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64, n))
 
 
 def signed(x: int) -> int:

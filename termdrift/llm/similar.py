@@ -1,8 +1,10 @@
 """Near copies by the words themselves: sets of 5-word shingles with a Jaccard similarity of 0.8 or more.
 
-Candidates share one of 40 bands of five MinHash values; a pair at exactly 0.8 shares none with a
-probability of 1.3e-7, and less above. Every candidate is confirmed by its whole sets. Groups are
-the components of confirmed pairs: first each member of a bucket is held against the bucket's
+Candidates are what SimHash links: fingerprints of the sets that differ in three bits at most, found by pigeonring
+chains (simhash.py). That is a small part of the pairs at 0.8 or more, so those are candidates, too, that
+share one of 40 bands of five MinHash values; a pair at exactly 0.8 shares none with a probability of 1.3e-7, and
+less above. Every candidate is confirmed by its whole sets. Groups are
+the components of confirmed pairs: first SimHash's links are confirmed, and each member of a bucket is held against the bucket's
 least one, then those pairs that still lie in different components are, within the bucket: no row is
 made of a pair. Of these only pairs whose sketches (four bits of each of the 200 values) differ in 76 places at most
 are confirmed; a pair at exactly 0.8 differs in more with a probability of 6e-11 if values are independent, and less above.
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import HOT, counted, join_unique, only, per_text, written
 from .components import components
+from .simhash import links, majority, signed
 
 SHINGLE, BANDS, ROWS = 5, 40, 5
 #: The least similarity of near copies, as a fraction.
@@ -82,17 +85,17 @@ def apart(a: str, b: str) -> Column:
 
 
 def banded(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """Columns keep; id, size, bands and sketch of each text's set."""
+    """Columns keep; id, size, fp (its SimHash), bands and sketch of each text's set."""
 
     def start():
         def work(texts):
             found = [shingles(t) for t in texts]
             least = [least_hashes(x) for x in found]
-            return [list(map(number, found)), list(map(len, found)), list(map(bands, least)), list(map(sketch, least))]
+            return [list(map(number, found)), list(map(len, found)), [signed(majority(x)) for x in found], list(map(bands, least)), list(map(sketch, least))]
 
         return work
 
-    return per_text(df, start, "id bigint, size bigint, bands array<bigint>, sketch array<bigint>", keep)
+    return per_text(df, start, "id bigint, size bigint, fp bigint, bands array<bigint>, sketch array<bigint>", keep)
 
 
 def number(found: np.ndarray) -> int:
@@ -126,6 +129,24 @@ def confirmed(pairs: DataFrame, whole: DataFrame) -> tuple[DataFrame, int]:
     return counted(pairs.where(both * WHOLE >= (F.size("of_u") + F.size("of_v") - both) * PART).select("u", "v"), "similar-links")
 
 
+def alike_in_size(a: str, b: str) -> Column:
+    """Whether sets of two sizes can be similar enough."""
+    return F.least(a, b) * WHOLE >= F.greatest(a, b) * PART
+
+
+def by_simhash(nodes: DataFrame, total: int) -> DataFrame:
+    """u, v: sets (ids) that SimHash links, if their sizes are near enough.
+
+    nodes: id, size and fp of each set, total in number. Sets with one fingerprint are linked to the least one, and that one
+    to others' by a spanning forest of links in each of the pigeonring's buckets.
+    """
+    least = written(nodes.groupBy("fp").agg(F.min("id").alias("u"), F.min_by("size", "id").alias("u_size"), F.count(F.lit(1)).alias("n")), "similar-fingerprints")
+    same = by_key(nodes.select("id", "size", F.col("fp").alias("key")), least.where("n > 1").withColumnRenamed("fp", "key"), total).where("id <> u")
+    of = lambda side: least.select(F.col("fp").alias(f"{side}_fp"), F.col("u").alias(side), F.col("u_size").alias(f"{side}_size"))
+    other = links(least.select("fp")).toDF("u_fp", "v_fp").distinct().join(of("u"), "u_fp").join(of("v"), "v_fp").select("u", "u_size", "v", "v_size")
+    return same.select("u", "u_size", F.col("id").alias("v"), F.col("size").alias("v_size")).union(other).where(alike_in_size("u_size", "v_size")).select("u", "v")
+
+
 def by_key(left: DataFrame, right: DataFrame, total: int) -> DataFrame:
     """left (total rows) joined to right, which has one row for each key and, in column n, left's rows with it.
 
@@ -238,19 +259,22 @@ def cell_links(rows: pa.Table, sure: bool) -> list[tuple[int, int]]:
 def roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """id and root, the smallest id that confirmed pairs reach, of each set.
 
-    rows: as of banded(), with row_hash; texts: text and row_hash. Only sets that share a band with
-    another one are made again from their texts.
+    rows: as of banded(), with row_hash; texts: text and row_hash. Only sets that share a band or a
+    SimHash link with another one are made again from their texts.
     """
-    nodes = rows.groupBy("id").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("row_hash").alias("row_hash"))
+    nodes = rows.groupBy("id").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("row_hash").alias("row_hash"))
     nodes, n_nodes = counted(nodes, "similar-nodes")
     keyed = nodes.select("id", "size", "row_hash", F.explode("bands").alias("key"))
     least = keyed.groupBy("key").agg(F.min("id").alias("u"), F.min_by("size", "id").alias("u_size"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = written(by_key(keyed, written(least, "similar-least"), n_nodes * BANDS), "similar-met")
-    wanted, n_wanted = counted(met.select("row_hash").distinct(), "similar-wanted")
+    linked = written(by_simhash(nodes, n_nodes), "similar-linked")
+    ends = linked.select(F.col("u").alias("id")).union(linked.select("v"))
+    wanted = met.select("row_hash").union(nodes.select("id", "row_hash").join(ends, "id", "left_semi").select("row_hash"))
+    wanted, n_wanted = counted(wanted.distinct(), "similar-wanted")
     few = F.broadcast(wanted) if n_wanted <= FEW else wanted
     whole = written(sets(texts.join(few, "row_hash", "left_semi").select("text")), "similar-whole").dropDuplicates(["id"])
-    near = F.least("size", "u_size") * WHOLE >= F.greatest("size", "u_size") * PART
-    first, _ = confirmed(met.where((F.col("id") != F.col("u")) & near).select("u", F.col("id").alias("v")).distinct(), whole)
+    least = met.where((F.col("id") != F.col("u")) & alike_in_size("size", "u_size")).select("u", F.col("id").alias("v"))
+    first, _ = confirmed(least.union(linked.select(F.least("u", "v"), F.greatest("u", "v"))).distinct(), whole)
 
     ties = written(components(first), "similar-ties")
     rooted = nodes.select("id").join(ties, nodes.id == ties.node, "left").select("id", F.coalesce("root", "id").alias("root"))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from termdrift.llm import similar, simhash
 
@@ -123,3 +124,30 @@ def test_keys_without_a_partner_go_through_no_join_of_their_own(spark):
         got = similar.by_key(left, right, total)
         assert sorted(r.name for r in got.collect()) == ["a"] * 50 + ["b"] * 2
         assert "LeftOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_links_of_simhash_are_candidates(spark):
+    """Near copies that share no band are found if their fingerprints differ in three bits at most, and then confirmed."""
+    rng = random.Random(6)
+    texts = {}
+    for k in range(6):
+        words = [f"w{rng.randrange(100_000)}" for _ in range(2500)]
+        for changes in (0, 1, 2, 40):
+            copy = list(words)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(100_000)}"
+            texts[10 * k + changes] = " ".join(copy)
+    texts |= {100: "a b c", 101: "a b d", 102: ""}
+    marks = {i: simhash.majority(similar.shingles(t)) for i, t in texts.items()}
+    alike = lambda a, b: (marks[a] ^ marks[b]).bit_count() <= 3 and len((x := brute_shingles(texts[a])) & (y := brute_shingles(texts[b]))) / len(x | y) >= 0.8
+    root = {i: i for i in texts}
+    for a in texts:
+        for b in texts:
+            if root[a] != root[b] and alike(a, b):
+                low, high = sorted((root[a], root[b]))
+                root.update({i: low for i in root if root[i] == high})
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").withColumn("row_hash", F.col("doc_id"))
+    rows = similar.banded(df, ("doc_id", "row_hash")).withColumn("bands", F.transform(F.sequence(F.lit(1), F.lit(similar.BANDS)), lambda i: F.xxhash64("id", i))).cache()
+    got = rows.join(similar.roots(rows, df), "id").groupBy("root").agg(F.min("doc_id").alias("least")).collect()
+    want = {i for i in texts if root[i] == i}
+    assert {r.least for r in got} == want and len(want) < len(texts) - 4
