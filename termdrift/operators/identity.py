@@ -23,8 +23,9 @@ class SequenceDataset:
     report: Report
 
     @classmethod
-    def read(cls, spark: SparkSession, source: Source | str, *, strict: bool = True) -> SequenceDataset:
-        return cls(*FastaReader().read(spark, source, strict=strict))
+    def read(cls, spark: SparkSession, source: Source | str, *, strict: bool = True, empty: bool = False) -> SequenceDataset:
+        """empty: as of FastaReader."""
+        return cls(*FastaReader(empty=empty).read(spark, source, strict=strict))
 
     @property
     def validation(self) -> Report:
@@ -70,9 +71,10 @@ class SequenceIndex:
         self.entries, self.report = entries, report
 
     @classmethod
-    def from_fasta(cls, spark: SparkSession, source: Source | str, *, source_name: str | None = None, strict: bool = True) -> SequenceIndex:
+    def from_fasta(cls, spark: SparkSession, source: Source | str, *, source_name: str | None = None, strict: bool = True, empty: bool = False) -> SequenceIndex:
+        """empty: as of FastaReader."""
         source = Source.of(source)
-        records, report = FastaReader().read(spark, source, strict=strict)
+        records, report = FastaReader(empty=empty).read(spark, source, strict=strict)
         return cls.of(records, source_name or source.name, report)
 
     @classmethod
@@ -105,9 +107,9 @@ class SequenceIndex:
         row = self.entries.sparkSession.createDataFrame([(sequence, identifier, source)], "sequence string, identifier string, alias_source string")
         self.entries = self.entries.unionByName(row)
 
-    def add_fasta(self, source: Source | str, *, source_name: str | None = None, strict: bool = True) -> None:
+    def add_fasta(self, source: Source | str, *, source_name: str | None = None, strict: bool = True, empty: bool = False) -> None:
         """The entries of one more file, under its own name or the given one."""
-        one = self.from_fasta(self.entries.sparkSession, source, source_name=source_name, strict=strict)
+        one = self.from_fasta(self.entries.sparkSession, source, source_name=source_name, strict=strict, empty=empty)
         self.entries = self.entries.unionByName(one.entries)
         self.report.extend(one.report)
 
