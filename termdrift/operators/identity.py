@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from termdrift.functions.text import normalize_sequence, normalized_digest
 from termdrift.plans.issues import Report
-from termdrift.plans.stages import cut
+from termdrift.plans.stages import cut, forget
 from termdrift.sources.fasta import FastaReader
 from termdrift.sources.files import Source
 
@@ -127,12 +127,14 @@ class SequenceIndex:
         a collision of digests can't match. Aliases are a sorted set.
         """
         order = F.col(ordinal).cast("bigint") if ordinal else F.monotonically_increasing_id()
-        # The cohort is used twice; releases are read once, and only what it wants of them is grouped.
+        # The cohort is used twice; releases are read once, and only what it wants of them is grouped. Sequences go once they are matched.
         mine = cut(keyed(targets.select(F.col("identifier").alias("target_id"), "sequence", order.alias("ordinal"))))
         wanted = mine.select(*KEY).distinct()
         alias = F.struct(F.col("identifier"), F.col("alias_source").alias("source"))
         found = keyed(self.entries).join(wanted, KEY, "left_semi").groupBy(*KEY).agg(F.array_sort(F.collect_set(alias)).alias("aliases"))
         joined = mine.join(found, KEY, "left").select("target_id", F.concat(F.lit("sha256:"), "seq_hash").alias("sequence_id"), "aliases", "ordinal")
+        joined = cut(joined)
+        forget(targets.sparkSession, mine.written_at)
         return IdentityMap(joined.where("aliases IS NOT NULL"), joined.where("aliases IS NULL").select("target_id", "ordinal"))
 
 

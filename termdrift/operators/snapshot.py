@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdrift.plans.issues import ERROR, Report, issue, issue_rows
@@ -17,24 +17,23 @@ from .ontology import Ontology
 NAMESPACES = {"F": "molecular_function", "P": "biological_process", "C": "cellular_component"}
 
 
-def qualified_subject() -> Column:
-    return F.concat_ws(":", F.col("database"), F.col("subject_id"))
-
-
 def by_subjects(annotations: DataFrame, subjects: DataFrame | None) -> DataFrame:
     """Annotations whose subject_id or database:subject_id is among subjects (subject_id).
 
-    No subjects given: all of them; an empty table: none. Two equi-joins mark the rows, as one
-    join on either condition would compare every row with every subject.
+    No subjects given: all of them; an empty table: none. A subject may be a subject_id as a whole, or
+    what follows one of its colons if the database precedes it: one equi-join by subject_id finds both,
+    so annotations are shuffled once.
     """
     if subjects is None:
         return annotations
     wanted = subjects.select("subject_id").where("subject_id IS NOT NULL").distinct()
-    plain = wanted.select(F.col("subject_id").alias("_plain"))
-    full = wanted.select(F.col("subject_id").alias("_full"))
-    rows = annotations.withColumn("_q", qualified_subject())
-    rows = rows.join(plain, rows.subject_id == plain["_plain"], "left").join(full, F.col("_q") == full["_full"], "left")
-    return rows.where("_plain IS NOT NULL OR _full IS NOT NULL").drop("_plain", "_full", "_q")
+    plain = wanted.select(F.col("subject_id").alias("_subject"), F.lit(None).cast("string").alias("_database"))
+    colons = F.filter(F.sequence(F.lit(1), F.length("subject_id")), lambda i: F.substring("subject_id", i, F.lit(1)) == ":")
+    cuts = wanted.where(F.contains("subject_id", F.lit(":"))).select("subject_id", F.explode(colons).alias("at"))
+    full = cuts.select(F.substr("subject_id", F.col("at") + 1).alias("_subject"), F.substring("subject_id", F.lit(1), F.col("at") - 1).alias("_database"))
+    names = plain.union(full)
+    same = (annotations["subject_id"] == names["_subject"]) & (names["_database"].isNull() | (names["_database"] == annotations["database"]))
+    return annotations.join(names, same, "left_semi")
 
 
 def consistency(annotations: DataFrame, ontology: Ontology) -> DataFrame:

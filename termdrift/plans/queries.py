@@ -14,7 +14,7 @@ from termdrift.operators.identity import SequenceIndex, targets_by_sequence
 from termdrift.operators.snapshot import by_subjects, consistency
 from termdrift.operators.ontology import Ontology
 from termdrift.operators.snapshot import AnnotationSnapshot
-from termdrift.plans.stages import scratch
+from termdrift.plans.stages import cut, scratch, shuffles_dropped
 from termdrift.plans.testdata import OWL_HEAD, Inputs, term_name
 from termdrift.sources.fasta import FastaReader
 from termdrift.sources.files import Source, checksums
@@ -372,10 +372,12 @@ def files_owl_faults(x: Inputs) -> DataFrame:
 @query
 def files_snapshot(x: Inputs) -> DataFrame:
     """Sizes and issue counts of a snapshot read for the matched subjects."""
+    subjects = cut(x.identities.subject_ids)  # before there are files, as matching shuffles sequences
     read = AnnotationSnapshot.read(
-        x.spark, release="new", annotations=x.annotation_file("new.gaf", x.new), ontology=x.ontology_file("new.owl", x.new_ontology), subjects=x.identities.subject_ids, strict=False, every_claim=True
+        x.spark, release="new", annotations=x.annotation_file("new.gaf", x.new), ontology=x.ontology_file("new.owl.gz", x.new_ontology), subjects=subjects, strict=False, every_claim=True
     )
-    sizes = x.spark.createDataFrame([("annotations", read.count()), ("terms", read.ontology.count())], "what string, n long")
+    with shuffles_dropped(x.spark):
+        sizes = x.spark.createDataFrame([("annotations", read.count()), ("terms", read.ontology.count())], "what string, n long")
     return sizes.union(told(read.report.issues, "what", "MISSING_GO_ROOTS"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,29 @@ def cut(df: DataFrame) -> DataFrame:
 def counted(df: DataFrame) -> tuple[DataFrame, int]:
     """The same, and the number of rows, which is observed as they are written."""
     spark, path, seen = df.sparkSession, scratch(df.sparkSession, "stage"), Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+    with shuffles_dropped(spark):
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out, seen.get["n"]
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written or counted within this leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Deletes what was written at paths of the shared folder, and nothing will read again."""
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch(spark: SparkSession, what: str) -> str:

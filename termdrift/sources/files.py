@@ -73,12 +73,14 @@ def opened(path: str, *, stored: bool = False):
 
 
 def joined(spark: SparkSession, parts: str, whole: str) -> str:
-    """The stored bytes of parts (a pattern; Spark's part files), in the order of their names, as one file; its path.
+    """The bytes of parts (a pattern; Spark's part files), in the order of their names, as one file; its path.
 
-    Compressed parts make a compressed whole, as .gz files may have several members.
+    Compressed parts make a compressed whole if its name ends with .gz, as such files may have several members; else they are decompressed.
     """
     from urllib.parse import quote
 
+    packed = whole.lower().endswith(".gz")
+
     def run(batches):
         from pyarrow import fs
 
@@ -86,7 +88,7 @@ def joined(spark: SparkSession, parts: str, whole: str) -> str:
         store, name = fs.FileSystem.from_uri(quote(whole, safe="/:@"))
         with store.open_output_stream(name, compression=None) as out:
             for path in found:
-                with opened(path, stored=True) as stream:
+                with opened(path, stored=packed) as stream:
                     for data in iter(lambda: stream.read(1 << 23), b""):  # noqa: B023
                         out.write(data)
         yield pa.RecordBatch.from_arrays([pa.array([whole])], names=["path"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termdrift.functions.text import literal_id, obo_id, relation_name
 from termdrift.plans.issues import Report
-from termdrift.plans.stages import cut
+from termdrift.plans.stages import cut, forget
 from termdrift.schemas import EDGES, TERMS
 
 from .files import Source, listed, opened
@@ -102,6 +102,8 @@ def read_owl(spark: SparkSession, source: Source | str) -> tuple[DataFrame, Data
     some = ups.where(F.col("kind") == BLANK).join(limits, F.col("o") == F.col("s")).select("child", "relation", "parent")
     edges = plain.union(some).where(F.col("relation").isNotNull() & F.col("parent").startswith("GO:")).distinct()
     release = rows.where(is_a(VERSION)).agg(F.min_by("o", "ordinal")).first()[0]
+    terms, edges = cut(terms), cut(edges)
+    forget(spark, rows.written_at)
     report = Report.empty(spark)
     if terms.isEmpty():
         report.error("EMPTY_GO_ONTOLOGY", "there are no GO classes", source=source.name)
